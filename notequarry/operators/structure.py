@@ -52,6 +52,37 @@ def _joined_length(matches: Column, count: Column) -> Column:
     return F.length(F.array_join(F.slice(matches, F.lit(1), count), ""))
 
 
+#: Matches per block: offsets are summed inside a block and over whole blocks, so
+#: a very long sentence costs its length times this, not its length squared.
+BLOCK = 64
+
+
+def explode_matches(frame: DataFrame, keep: Sequence[str], matches: str, index: str) -> DataFrame:
+    """One row per match: ``keep``, its index, ``_one`` and ``_to``, where it ends.
+
+    Outer generators throughout: the inner form would add a filter that runs the
+    pattern a second time.
+    """
+    every = F.sequence(F.lit(0), F.floor(F.greatest(F.size(matches) - 1, F.lit(0)) / BLOCK).cast("int"))
+    texts = F.transform(every, lambda b: F.array_join(F.slice(F.col(matches), b * BLOCK + 1, BLOCK), ""))
+    blocked = frame.select(*keep, matches, texts.alias("_texts")).select(
+        *keep, matches, "_texts", F.posexplode_outer("_texts").alias("_b", "_text")
+    )
+    blocks = blocked.select(
+        *keep,
+        "_b",
+        _joined_length(F.col("_texts"), F.col("_b")).alias("_from"),
+        F.slice(F.col(matches), F.col("_b") * BLOCK + 1, F.lit(BLOCK)).alias("_block"),
+    )
+    rows = blocks.select(*keep, "_b", "_from", "_block", F.posexplode_outer("_block").alias("_i", "_one"))
+    return rows.filter(F.col("_one").isNotNull()).select(
+        *keep,
+        (F.col("_b") * BLOCK + F.col("_i")).alias(index),
+        "_one",
+        (F.col("_from") + _joined_length(F.col("_block"), F.col("_i") + 1)).alias("_to"),
+    )
+
+
 def segment(parts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """The whole part as one segment."""
     return parts.select(
@@ -65,11 +96,12 @@ def segment(parts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def sentence_split(parts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Sentences with offsets, numbered in order; a line break always ends one."""
     found = parts.select(*keys, _matches("text", SENTENCE).alias("_all"))
-    rows = found.select(*keys, "_all", F.posexplode_outer("_all").alias("sent_id", "_one"))
     core = F.ltrim(F.col("_one"), F.lit(BLANKS + "\n"))
-    begin = _joined_length(F.col("_all"), F.col("sent_id") + 1) - F.length(core)
-    cut = rows.filter(F.col("_one").isNotNull()).select(
-        *keys, "sent_id", begin.alias("begin"), F.rtrim(core, F.lit(BLANKS)).alias("text")
+    cut = explode_matches(found, keys, "_all", "sent_id").select(
+        *keys,
+        "sent_id",
+        (F.col("_to") - F.length(core)).alias("begin"),
+        F.rtrim(core, F.lit(BLANKS)).alias("text"),
     )
     return cut.select(
         *keys, "sent_id", "begin", (F.col("begin") + F.length("text")).alias("end"), "text"
@@ -99,15 +131,15 @@ def token_type(text: Column) -> Column:
 
 
 def _token_rows(frame: DataFrame, keep: Sequence[str]) -> DataFrame:
-    rows = frame.select(
-        *keep, "sent_begin", "pieces", F.posexplode_outer("pieces").alias("tok_idx", "_piece")
-    )
-    text = F.ltrim(F.col("_piece"), F.lit(BLANKS))
-    end = F.col("sent_begin") + _joined_length(F.col("pieces"), F.col("tok_idx") + 1)
-    cut = rows.filter(F.col("_piece").isNotNull()).select(
-        *keep, "tok_idx", end.alias("end"), text.alias("text")
+    carried = [*keep, "sent_begin"]
+    cut = explode_matches(frame, carried, "pieces", "tok_idx").select(
+        *keep,
+        "tok_idx",
+        (F.col("sent_begin") + F.col("_to")).alias("end"),
+        F.ltrim(F.col("_one"), F.lit(BLANKS)).alias("text"),
     )
-    return cut.select(
+    # Blanks at the end of a part are a match of their own, and no token.
+    return cut.filter(F.col("text") != "").select(
         *keep,
         "tok_idx",
         (F.col("end") - F.length("text")).alias("begin"),

@@ -48,7 +48,7 @@ def rows(table) -> Counter:
 def compare(frame, con, sql: str) -> list[str]:
     """Differences between a Spark result and its SQL, empty when they agree."""
     ours = frame.toArrow()
-    theirs = con.execute(sql).fetch_arrow_table()
+    theirs = con.execute(sql).to_arrow_table()
     problems = []
     if kinds(ours.schema) != kinds(theirs.schema):
         a, b = kinds(ours.schema), kinds(theirs.schema)
