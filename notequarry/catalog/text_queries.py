@@ -10,7 +10,7 @@ from notequarry.catalog.sql import literal
 from notequarry.functions import codes, keys, text
 from notequarry.operators import consume, dictionary, spans, structure, variants
 from notequarry.operators.parts import split_to_parts
-from notequarry.resources import CATEGORY_NAMES, CONJUNCTION_WORDS, EXCLUSION_WORDS, LOOKUP_EXCLUDED_TAGS, TREEBANK_TAGS
+from notequarry.resources import CATEGORY_NAMES, EXCLUSION_WORDS, LOOKUP_EXCLUDED_TAGS, TREEBANK_TAGS
 from notequarry.sources.files import note_blacklist
 
 SENT = "doc_id part sent_id:i begin:i end:i text"
@@ -186,7 +186,7 @@ def paren_s_removal(spark, sf):
 
 
 # -------------------------------------------------------------------- filters
-@query("SELECT cui, rindex:: INTEGER AS rindex, tcount, term, rword FROM dictionary WHERE length(term) >= 8".replace("rindex:: INTEGER AS rindex", "CAST(rindex AS INTEGER) AS rindex"))
+@query(pick("cui rindex:i tcount:i term rword", "dictionary", "WHERE length(term) >= 8"))
 def min_term_length(spark, sf):
     return dictionary.min_term_length(X.prepared(spark, sf, "dictionary").frame, 8)
 

@@ -17,9 +17,9 @@ def cue_near(cues: Sequence[str], left: int, right: int) -> Column:
     the scope cannot leave the sentence.
     """
     listed = F.array(*[F.lit(c) for c in cues])
-    start = F.col("tok_start")
+    start = F.greatest(F.col("tok_start"), F.lit(0))
     before = F.slice(F.col("words"), F.greatest(start - left, F.lit(0)) + 1, F.least(start, F.lit(left)))
-    after = F.slice(F.col("words"), F.col("tok_end") + 2, F.lit(right))
+    after = F.slice(F.col("words"), F.greatest(F.col("tok_end"), F.lit(-1)) + 2, F.lit(right))
     return F.arrays_overlap(before, listed) | F.arrays_overlap(after, listed)
 
 

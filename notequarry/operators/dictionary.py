@@ -110,8 +110,12 @@ def find_terms(
         "cui",
         F.col("sent_words").alias("words"),
     )
-    first = F.element_at(F.col("pieces"), F.col("tok_start") + 1)
-    upto = lambda n: F.length(F.array_join(F.slice(F.col("pieces"), F.lit(1), n), ""))
+    # These must hold for any row: the optimizer may test them before the phrase.
+    first = F.get(F.col("pieces"), F.col("tok_start"))
+
+    def upto(n: Column) -> Column:
+        return F.length(F.array_join(F.slice(F.col("pieces"), F.lit(1), F.greatest(n, F.lit(0))), ""))
+
     begin = (
         F.col("sent_begin") + upto(F.col("tok_start") + 1) - F.length(F.ltrim(first, F.lit(BLANKS)))
     )
