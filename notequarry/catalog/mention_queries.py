@@ -101,7 +101,7 @@ LONGER = """NOT EXISTS (SELECT 1 FROM mentions o WHERE o.doc_id = m.doc_id AND o
 @query(pick(MENTION + " sem_group", "mentions m", f"WHERE {LONGER}"))
 def precision_consumer(spark, sf):
     columns = [c.split(":")[0] for c in MENTION.split()]
-    return spans.precision_consumer(X.mentions(spark, sf)).select(*columns, "sem_group")
+    return spans.precision_consumer(X.stored_mentions(spark, sf)).select(*columns, "sem_group")
 
 
 @query(
@@ -118,7 +118,7 @@ def precision_consumer(spark, sf):
 )
 def semantic_cleanup(spark, sf):
     columns = [c.split(":")[0] for c in MENTION.split()]
-    return spans.semantic_cleanup(X.mentions(spark, sf)).select(*columns, "sem_group")
+    return spans.semantic_cleanup(X.stored_mentions(spark, sf)).select(*columns, "sem_group")
 
 
 # -------------------------------------------------------------------- consume
