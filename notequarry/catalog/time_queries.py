@@ -59,8 +59,14 @@ def events(spark, sf):
     )
 
 
-ID = F.col("event_id")
-UNIT_NO = F.floor(ID / 7)
+def number():
+    return F.col("event_id")
+
+
+def unit_no():
+    return F.floor(number() / 7)
+
+
 
 # ---------------------------------------------------------------- D5: periods
 @query(
@@ -70,10 +76,10 @@ UNIT_NO = F.floor(ID / 7)
 )
 def period_value(spark, sf):
     phrase = (
-        F.when(ID % 5 == 0, F.concat(at(NUMBERS, ID), F.lit(" "), at(PLURAL, UNIT_NO)))
-        .when(ID % 5 == 1, F.concat((ID % 400).cast("string"), F.lit(" "), at(PLURAL, UNIT_NO)))
-        .when(ID % 5 == 2, F.concat(F.lit("the "), at(SINGULAR, UNIT_NO)))
-        .when(ID % 5 == 3, F.concat(F.lit("couple of "), at(PLURAL, UNIT_NO)))
+        F.when(number() % 5 == 0, F.concat(at(NUMBERS, number()), F.lit(" "), at(PLURAL, unit_no())))
+        .when(number() % 5 == 1, F.concat((number() % 400).cast("string"), F.lit(" "), at(PLURAL, unit_no())))
+        .when(number() % 5 == 2, F.concat(F.lit("the "), at(SINGULAR, unit_no())))
+        .when(number() % 5 == 3, F.concat(F.lit("couple of "), at(PLURAL, unit_no())))
         .otherwise(F.lit("some time"))
     )
     value = times.period_value(F.col("phrase"))
@@ -114,14 +120,14 @@ SPANS = {
 
 
 def relative_phrase():
-    amount = F.concat(at(NUMBERS[:9], ID), F.lit(" "), at(PLURAL[:9], UNIT_NO))
+    amount = F.concat(at(NUMBERS[:9], number()), F.lit(" "), at(PLURAL[:9], unit_no()))
     return (
-        F.when(ID % 7 == 0, F.lit("yesterday"))
-        .when(ID % 7 == 1, F.lit("today"))
-        .when(ID % 7 == 2, F.lit("tomorrow"))
-        .when(ID % 7 == 3, F.concat(F.lit("last "), amount))
-        .when(ID % 7 == 4, F.concat(F.lit("the next "), amount))
-        .when(ID % 7 == 5, F.concat(amount, F.lit(" ago")))
+        F.when(number() % 7 == 0, F.lit("yesterday"))
+        .when(number() % 7 == 1, F.lit("today"))
+        .when(number() % 7 == 2, F.lit("tomorrow"))
+        .when(number() % 7 == 3, F.concat(F.lit("last "), amount))
+        .when(number() % 7 == 4, F.concat(F.lit("the next "), amount))
+        .when(number() % 7 == 5, F.concat(amount, F.lit(" ago")))
         .otherwise(F.concat(amount, F.lit(" earlier")))
     )
 
@@ -152,9 +158,9 @@ ABSOLUTE = {
 def absolute_date(spark, sf):
     ts = F.col("ts")
     phrase = (
-        F.when(ID % 4 == 0, F.lower(F.date_format(ts, "MMMM d, yyyy")))
-        .when(ID % 4 == 1, F.lower(F.date_format(ts, "MMM yyyy")))
-        .when(ID % 4 == 2, F.concat(at(["first", "second", "third", "fourth"], F.quarter(ts) - 1), F.lit(" quarter "), F.year(ts)))
+        F.when(number() % 4 == 0, F.lower(F.date_format(ts, "MMMM d, yyyy")))
+        .when(number() % 4 == 1, F.lower(F.date_format(ts, "MMM yyyy")))
+        .when(number() % 4 == 2, F.concat(at(["first", "second", "third", "fourth"], F.quarter(ts) - 1), F.lit(" quarter "), F.year(ts)))
         .otherwise(F.year(ts).cast("string"))
     )
     rows = events(spark, sf).select("event_id", phrase.alias("phrase"))
@@ -177,8 +183,8 @@ NEAREST = {
     NEAREST,
 )
 def partial_to_nearest(spark, sf):
-    half = F.floor(ID / 2)
-    name = F.when(ID % 2 == 0, at(WEEKDAY_NAMES, half)).otherwise(at(MONTH_NAMES, half))
+    half = F.floor(number() / 2)
+    name = F.when(number() % 2 == 0, at(WEEKDAY_NAMES, half)).otherwise(at(MONTH_NAMES, half))
     rows = events(spark, sf).select("event_id", "ts", name.alias("name"))
     return span_rows(rows, times.partial_to_nearest(F.col("name"), F.col("ts")))
 
@@ -196,9 +202,9 @@ RECURRING = [w for w, _ in RECURRENCES]
 )
 def period_set(spark, sf):
     phrase = (
-        F.when(ID % 4 == 0, at(RECURRING, ID))
-        .when(ID % 4 == 1, F.concat(F.lit("every "), at(NUMBERS, ID), F.lit(" "), at(PLURAL, UNIT_NO)))
-        .when(ID % 4 == 2, F.concat(F.lit("each "), at(WEEKDAY_NAMES, ID)))
+        F.when(number() % 4 == 0, at(RECURRING, number()))
+        .when(number() % 4 == 1, F.concat(F.lit("every "), at(NUMBERS, number()), F.lit(" "), at(PLURAL, unit_no())))
+        .when(number() % 4 == 2, F.concat(F.lit("each "), at(WEEKDAY_NAMES, number())))
         .otherwise(F.lit("now and then"))
     )
     rows = events(spark, sf).select("event_id", phrase.alias("phrase"))
@@ -213,9 +219,9 @@ def period_set(spark, sf):
 def time_of_day(spark, sf):
     ts = F.col("ts")
     phrase = (
-        F.when(ID % 4 == 0, F.lower(F.date_format(ts, "h:mm a")))
-        .when(ID % 4 == 1, F.date_format(ts, "HH:mm"))
-        .when(ID % 4 == 2, F.lower(F.date_format(ts, "ha")))
+        F.when(number() % 4 == 0, F.lower(F.date_format(ts, "h:mm a")))
+        .when(number() % 4 == 1, F.date_format(ts, "HH:mm"))
+        .when(number() % 4 == 2, F.lower(F.date_format(ts, "ha")))
         .otherwise(F.lit("noon"))
     )
     rows = events(spark, sf).select("event_id", phrase.alias("phrase"))
@@ -230,11 +236,11 @@ def event_notes(spark, sf):
     """A short note per event, with its type, a relative phrase, a date and a clock time."""
     ts = F.col("ts")
     body = F.concat(
-        F.lit("Noted "), "event_type", F.lit(" "), at(NOTE_PHRASES, ID), F.lit(" "), relative_phrase(),
+        F.lit("Noted "), "event_type", F.lit(" "), at(NOTE_PHRASES, number()), F.lit(" "), relative_phrase(),
         F.lit(". Seen on "), F.date_format(ts, "MMMM d, yyyy"), F.lit(" at "), F.date_format(ts, "HH:mm"),
         F.lit(" , then "), "event_type", F.lit("s every week.\nThe "), "event_type", F.lit(" has no phrase."),
     )
-    return events(spark, sf).select(ID.alias("doc_id"), F.lit(1).alias("part"), body.alias("text"))
+    return events(spark, sf).select(number().alias("doc_id"), F.lit(1).alias("part"), body.alias("text"))
 
 
 _AMOUNT = f"{sql_at(NUMBERS[:9], 'event_id')} || ' ' || {sql_at(PLURAL[:9], 'event_id // 7')}"
