@@ -25,6 +25,7 @@ from notequarry.operators.structure import (
     window_frames,
 )
 from notequarry.plans.lookup_table import LookupTable
+from notequarry.plans.spread import spread
 from notequarry.session import materialise
 
 #: Part cap of the queries; small enough that notes have several parts.
@@ -47,7 +48,7 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_parts(spark: SparkSession, sf_dir: str, cap: int = PART_CAP) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     return split_to_parts(docs, cap).select("doc_id", "part", "text")
 
 

@@ -57,6 +57,24 @@ def rare_word_join(
     return dictionary.join(tokens, {word: "rword"}, "inner", spread_by=spread_by)
 
 
+def with_neighbour(dictionary: LookupTable) -> LookupTable:
+    """The dictionary with the word next to each rare word as a second join key.
+
+    A rare word that begins many terms (or a common one) meets only the terms
+    whose neighbour stands there too, instead of all of them.
+    """
+    words = F.split("term", " ")
+    follows = F.col("rindex") < F.col("tcount") - 1
+    side = F.when(F.col("tcount") == 1, F.lit(0)).when(follows, F.lit(1)).otherwise(F.lit(2))
+    near = (
+        F.when(F.col("tcount") == 1, F.lit(""))
+        .when(follows, F.get(words, F.col("rindex") + 1))
+        .otherwise(F.get(words, F.col("rindex") - 1))
+    )
+    frame = dictionary.frame.withColumn("term_side", side).withColumn("term_near", near)
+    return LookupTable(frame, dictionary.broadcastable, dictionary.size_bytes)
+
+
 def find_terms(
     frames: DataFrame,
     dictionary: LookupTable,
@@ -98,7 +116,17 @@ def find_terms(
         same = window == wanted
     fits = within_window(start, F.col("tcount"), F.size("words")) & same
     residual = (F.length("term") >= min_span) & ((F.col("tcount") == 1) | fits)
-    hits = dictionary.join(probes, {"word": "rword"}, "inner", residual, spread_by=[*keys, "sent_id"])
+    on = {"word": "rword"}
+    if not match_variants:
+        sides = F.array(
+            F.struct(F.lit(0).alias("side"), F.lit("").alias("near")),
+            F.struct(F.lit(1).alias("side"), F.get(F.col("words"), F.col("idx") + 1).alias("near")),
+            F.struct(F.lit(2).alias("side"), F.get(F.col("words"), F.col("idx") - 1).alias("near")),
+        )
+        probes = probes.select("*", F.inline(sides))
+        dictionary = with_neighbour(dictionary)
+        on = {"word": "rword", "side": "term_side", "near": "term_near"}
+    hits = dictionary.join(probes, on, "inner", residual, spread_by=[*keys, "sent_id"])
 
     placed = hits.select(
         *keys,

@@ -1,0 +1,20 @@
+"""Widening of inputs that come in fewer partitions than the cluster has cores."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Repartition by ``keys`` when the scan is narrower than the cluster.
+
+    Tokenising costs far more than reading, so a small file in one row group must
+    not become one task. A large input already has more splits than cores and is
+    left as it is: its text is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores * 4, *keys)
