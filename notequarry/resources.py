@@ -190,7 +190,8 @@ EXCEPTION: al|;
 
 
 def plural_unit(word: str) -> str:
-    return word[:-1] + "ies" if word.endswith("y") else word + "s"
+    consonant_y = word.endswith("y") and word[-2] not in "aeiou"
+    return word[:-1] + "ies" if consonant_y else word + "s"
 
 
 def number_words() -> list[tuple[str, int]]:
