@@ -4,20 +4,27 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(maxsize=8)
+def _local_root(app: str) -> str:
+    return tempfile.mkdtemp(prefix="notequarry-")
+
+
 def shared_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a session that names none (a bare local test) gets its own folder.
+    Only a local session that names none, as in a test, gets a folder of its own.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="notequarry-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    if root:
+        return root
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return _local_root(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
