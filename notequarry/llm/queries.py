@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notequarry.llm import exact_dedup, simhash
+from notequarry.llm import exact_dedup, packing, piece_encoding, simhash
 from notequarry.llm.common import table
 
+#: Folder of the public vocabulary files; the operators take the path of a file.
+VOCABULARIES = "/opt/tokenizers"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -39,3 +42,13 @@ WINDOW same AS (PARTITION BY lowered)
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+
+
+@query
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_encoding.encode_digests(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
