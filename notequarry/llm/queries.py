@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notequarry.llm import exact_dedup, lm_scoring, packing, piece_encoding, simhash
+from notequarry.llm import exact_dedup, language_id, lm_scoring, packing, piece_encoding, quality, simhash
 from notequarry.llm.common import table
 
 #: Folder of the public vocabulary files; the operators take the path of a file.
@@ -49,6 +49,16 @@ def op3_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
