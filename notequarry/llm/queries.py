@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from notequarry.llm import exact_dedup, language_id, lm_scoring, packing, piece_encoding, quality, simhash
+from notequarry.llm import exact_dedup, language_id, lm_scoring, packing, pii, piece_encoding, quality, simhash
 from notequarry.llm.common import table
 
 #: Folder of the public vocabulary files; the operators take the path of a file.
 VOCABULARIES = "/opt/tokenizers"
+#: Key of the surrogates of these queries; a real run brings its own secret.
+SURROGATE_KEY = "corpus surrogates, change for real data"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -64,6 +66,11 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
 
 
+@query
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_pii(table(spark, sf_dir, "documents"), SURROGATE_KEY).select("doc_id", "text", "n_replaced")
+
+
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.encode_digests(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
