@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notequarry.llm import exact_dedup, language_id, lm_scoring, packing, pii, piece_encoding, quality, simhash, top_k
+from notequarry.llm import exact_dedup, html_main, language_id, lm_scoring, packing, pii, piece_encoding, quality, simhash, top_k
 from notequarry.llm.common import table
 
 #: Folder of the public vocabulary files; the operators take the path of a file.
@@ -86,6 +86,12 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.language_id(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main.extract(pages, html_main.fit(pages))
+
+
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
