@@ -1,25 +1,55 @@
-"""A corpus pipeline of operators for language-model training data."""
+"""A corpus pipeline: language, exact copies, near copies, personal data, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all the stage before it kept; all but
+the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from notequarry.llm import exact_dedup, simhash
+from notequarry.llm import exact_dedup, language_id, packing, pii, simhash
+from notequarry.llm.queries import SURROGATE_KEY, VOCABULARIES
 from notequarry.session import scratch_path
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language (null, or without a letter) go."""
+    return language_id.keep_identified(docs, language_id.fit(language_id.learnable(docs)))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the document with the largest id stays."""
     return exact_dedup.drop_exact_copies(docs)
 
 
-def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     return simhash.drop_near_copies(docs)
 
 
-STAGES = [("exact_dedup", exact), ("simhash_near_dedup", near)]
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data become surrogates; n_chars follows the new text."""
+    replaced = pii.replace_pii(docs, SURROGATE_KEY)
+    counted = F.when(F.col("n_replaced") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return replaced.withColumn("n_chars", counted).select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 4096 tokens."""
+    return packing.pack_documents(docs, f"{VOCABULARIES}/word_bpe_49k.json")
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("exact_dedup", drop_copies),
+    ("simhash_near_dedup", drop_near_copies),
+    ("pii_surrogates", replace_personal_data),
+    ("best_fit_packing", pack),
+]
 
+#: The language model, SimHash and the tokenizer have no form in SQL.
 ORACLE_SQL = None
 
 

@@ -171,11 +171,7 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
         for batch in rows:
             texts = [x.decode("utf-8", "replace") for x in text_bytes(batch.column(1))]
             for a, b in slices(texts):
-                part = texts[a:b]
-                lang, score = own.judge(part) if own.languages else ([UNKNOWN] * len(part), [0.0] * len(part))
-                for i, text in enumerate(part):
-                    if next(filter(str.isalpha, text), None) is None:
-                        lang[i], score[i] = UNKNOWN, 0.0
+                lang, score = named(own, texts[a:b])
                 yield pa.record_batch(
                     [batch.column(0)[a:b], pa.array(lang, pa.string()), pa.array(score, pa.float64())],
                     ["doc_id", "lang_pred", "score"],
@@ -186,12 +182,41 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return narrow.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is in a language, with all their columns."""
+    at, held = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = held.value
+        for batch in rows:
+            texts = [x.decode("utf-8", "replace") for x in text_bytes(batch.column(at))]
+            found = [lang for a, b in slices(texts) for lang in named(own, texts[a:b])[0]]
+            yield batch.filter(pa.array([x != UNKNOWN for x in found], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def named(model: LanguageModel, texts: list[str]) -> tuple[list[str], list[float]]:
+    """Language and certainty of each text; ``und`` and 0 where there is no letter."""
+    if not model.languages:
+        return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    lang, score = model.judge(texts)
+    for i, text in enumerate(texts):
+        if next(filter(str.isalpha, text), None) is None:
+            lang[i], score[i] = UNKNOWN, 0.0
+    return lang, score
+
+
 def held_out(doc_id: Column) -> Column:
     return F.coalesce(id_remainder(doc_id, HELD_OUT) == 1, F.lit(False))
 
 
+def learnable(docs: DataFrame) -> DataFrame:
+    """The (doc_id, text, lang) rows that a model may learn from."""
+    return columns(docs, doc_id="doc_id", text="text", lang="lang").filter(~held_out(F.col("doc_id")))
+
+
 def language_id(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score of every row of ``docs``, learnt from the rows not held out."""
-    model = fit(docs.filter(~held_out(F.col("doc_id"))))
-    found = identify(docs, model)
+    found = identify(docs, fit(learnable(docs)))
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
