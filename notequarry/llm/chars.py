@@ -22,6 +22,13 @@ def _classes() -> np.ndarray:
     return found
 
 
+@lru_cache(maxsize=1)
+def _lower() -> np.ndarray:
+    """Lower-case code point of each code point of the basic plane, where that is one."""
+    lowered = [chr(i).lower() for i in range(65_536)]
+    return np.array([ord(x) if len(x) == 1 else i for i, x in enumerate(lowered)], np.uint32)
+
+
 class Chars:
     """Code points of several texts, one after another, each followed by a line break."""
 
@@ -33,6 +40,10 @@ class Chars:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
         self.text_start = np.cumsum(sizes) - sizes
 
+    def lowered(self) -> np.ndarray:
+        """The code points in lower case, place by place."""
+        return np.where(self.code < 65_536, _lower()[np.minimum(self.code, 65_535)], self.code)
+
     def runs(self, kinds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Start and length of the longest runs of one value other than SPACE."""
         edge = np.concatenate([[0], np.flatnonzero(kinds[1:] != kinds[:-1]) + 1, [len(kinds)]])
@@ -40,14 +51,15 @@ class Chars:
         kept = kinds[start] != SPACE
         return start[kept], size[kept]
 
-    def hashes(self, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """A 64-bit hash of each run of code points."""
+    def hashes(self, start: np.ndarray, size: np.ndarray, code: np.ndarray | None = None) -> np.ndarray:
+        """A 64-bit hash of each run of code points, of the texts' own or of ``code``."""
+        code = self.code if code is None else code
         if not len(start):
             return np.zeros(0, np.uint64)
         total = np.cumsum(size)
         inside = np.arange(total[-1]) - np.repeat(total - size, size)
         powers = np.cumprod(np.full(int(size.max()), _BASE, np.uint64))
-        values = mix(self.code[np.repeat(start, size) + inside].astype(np.uint64) + np.uint64(7)) * powers[inside]
+        values = mix(code[np.repeat(start, size) + inside].astype(np.uint64) + np.uint64(7)) * powers[inside]
         return mix(np.add.reduceat(values, total - size))
 
 

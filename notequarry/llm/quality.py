@@ -41,14 +41,12 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     if not len(start):
         return np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
     kind = chars.kind[start]
-    lowered = Chars([t.lower() for t in texts])
-    if len(lowered.code) != len(chars.code):  # a few letters grow when lowered
-        lowered = chars
-    word = lowered.hashes(start, size)
+    lowered = chars.lowered()
+    word = chars.hashes(start, size, lowered)
     exact = chars.hashes(start, size)
-    same = lowered.code != chars.code
-    upper = np.add.reduceat(same.astype(np.int64), np.ravel(np.stack([start, start + size - 1], axis=1)))[::2] + same[start + size - 1]
-    case = np.where(size == 1, same[start] * 1, np.where(upper >= size, 3, np.where(same[start], 1, np.where(upper > 0, 2, 0))))
+    raised = lowered != chars.code
+    upper = np.add.reduceat(raised.astype(np.int64), np.ravel(np.stack([start, start + size - 1], axis=1)))[::2] + raised[start + size - 1]
+    case = np.where(size == 1, raised[start] * 1, np.where(upper >= size, 3, np.where(raised[start], 1, np.where(upper > 0, 2, 0))))
     glued = np.concatenate([[False], start[1:] == start[:-1] + size[:-1]])
     words = np.flatnonzero(kind == LETTER)
     repeat = np.zeros(len(start), bool)
