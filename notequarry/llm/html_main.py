@@ -175,8 +175,8 @@ def features(block: Block, index: int, count: int) -> list[float]:
         math.log1p(size) / 5,
         min(1.0, block.linked / max(1, size)),
         min(1.0, 20 * sum(block.text.count(c) for c in ".,;:!?") / max(1, size)),
-        float(block.tag in ("li", "ul", "ol", "td", "th", "")),
-        float(block.tag in ("p", "blockquote", "pre")),
+        float(block.tag in ("li", "ul", "ol", "td", "th")),
+        float(block.tag in ("p", "blockquote", "pre", "")),
         abs(2 * (index + 0.5) / max(1, count) - 1),
     ]
 

@@ -224,8 +224,9 @@ def fitted(mention: str, kind: str, made: str) -> str:
     if kind in ("card", "ssn", "phone", "iban"):
         left = iter(made.lstrip("+") if kind == "phone" else made)
         return "".join(next(left, "") if c.isalnum() else c for c in mention)
-    if kind == "email" and mention.isupper():
-        return made.upper()
+    if kind == "email":
+        halves = zip(mention.split("@"), made.split("@"), strict=True)
+        return "@".join(new.upper() if old.isupper() else new for old, new in halves)
     if not kind.startswith(("given", "surname")):
         return made
     return made.upper() if mention.isupper() and len(mention) > 1 else made
