@@ -11,6 +11,7 @@ bounded bins moves. The root sees only what all levels left underfull.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,12 @@ NODE_PIECES = 20_000
 BRANCHES = 8
 #: Share of the capacity from which a bin leaves, in the first, second and later rounds.
 NEARLY_FULL = (0.99, 0.95, 0.85)
-REMEMBERED = 250_000
+#: Words a tokenizer remembers, and half the word parts; beyond them it starts anew.
+REMEMBERED = 300_000
+#: Words of letters that lower-casing and composition treat one by one, with signs after them.
+#: The splitting pattern parts the two, and both are looked up by themselves.
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ň]+)([.,!?;:*#$%&|)(\"]*)")
+MARK = "#"
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
@@ -48,20 +54,41 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
+        self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = list({w for words in split for w in words if w not in self.known})
+        fresh = set().union(*split).difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known = {"": b""}
-            fresh = list({w for words in split for w in words if w})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+            fresh = set().union(*split).difference(self.known)
+        halves = {w: (m[1].lower(), m[2]) if (m := PLAIN.fullmatch(w)) else (w,) for w in fresh}
+        self._learn({x for parts in halves.values() for x in parts})
+        for word, parts in halves.items():
+            self.known[word] = b"".join([self.parts[x] for x in parts])
         known = self.known
         return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
 
+    def _learn(self, wanted: set[str]) -> None:
+        """Ids of words not met before; many of them share a call, told apart by a sign between."""
+        new = [x for x in wanted if x not in self.parts]
+        if len(self.parts) + len(new) > 2 * REMEMBERED:
+            self.parts = {"": b""}
+            new = [x for x in wanted if x]
+        joined = [x for x in new if MARK not in x and "<" not in x]
+        lines = [joined[at : at + 50] for at in range(0, len(joined), 50)]
+        made = self.tokenizer.encode_batch_fast([f" {MARK} ".join(x) for x in lines], add_special_tokens=False)
+        for words, found in zip(lines, made, strict=True):
+            ids, start = np.array(found.ids, "<u4"), 0
+            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark)).tolist()
+            for word, cut in zip(words, [*cuts, len(raw)], strict=True):
+                self.parts[word] = raw[start:cut]
+                start = cut + 4
+        for word in set(new).difference(joined):
+            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.parts[word] = np.array(ids, "<u4").tobytes()
+
 
 def tokenizer(path: str) -> WordTokenizer:
     if path not in _TOKENIZERS:
