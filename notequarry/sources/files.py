@@ -20,9 +20,18 @@ def whole_files(spark: SparkSession, root: str, glob: str | None = None, recursi
 
 
 def whole_texts(spark: SparkSession, root: str, glob: str | None = None, encoding: str = "UTF-8") -> DataFrame:
-    """Whole files as text: path, text."""
+    """Whole files as text: path, text, failure.
+
+    No byte ends the job. In UTF-8 a wrong byte becomes a replacement character and the row
+    says so in ``failure`` (UNDECODABLE_BYTES), else null. Other encodings are decoded as
+    they are; Latin-1 and its kin have no wrong bytes.
+    """
     files = whole_files(spark, root, glob)
-    return files.select("path", F.decode("content", encoding).alias("text"))
+    if encoding.upper().replace("-", "") != "UTF8":
+        return files.select("path", F.decode("content", encoding).alias("text"), F.lit(None).cast("string").alias("failure"))
+    raw = F.col("content").cast("string")
+    failure = F.when(~F.is_valid_utf8(raw), F.lit("UNDECODABLE_BYTES"))
+    return files.select("path", F.make_valid_utf8(raw).alias("text"), failure.alias("failure"))
 
 
 def base_name(path: Column) -> Column:
@@ -86,10 +95,14 @@ def keyed_parts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def keyed_parts_sequence(spark: SparkSession, path: str) -> DataFrame:
-    """Legacy sequence files of (text key, text or bytes value)."""
+    """Legacy sequence files of (text key, text or bytes value).
+
+    Spark's SQL readers know no sequence files, so this decodes row by row in Python. Use it
+    once, to turn such files into parquet (``sinks.results.packed_parts``).
+    """
 
     def text(value) -> str:
-        return value.decode("utf-8") if isinstance(value, (bytes, bytearray)) else str(value)
+        return value.decode("utf-8", "replace") if isinstance(value, (bytes, bytearray)) else str(value)
 
     pairs = spark.sparkContext.sequenceFile(path).map(lambda kv: (text(kv[0]), text(kv[1])))
     return spark.createDataFrame(pairs, "key string, value string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -9,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notequarry.plans.jobs import Settings, extract, pack_notes
+from notequarry.session import materialise
 
 
 def incremental_extract(
@@ -22,9 +24,10 @@ def incremental_extract(
 ):
     """Process every note file not yet seen, then stop.
 
-    A batch owns its ``loaded`` value and replaces it, so a batch that is run
-    again after a failure leaves the same rows once.
+    A batch writes to a folder of its own, named by its time, its checkpoint and its
+    number: one that is run again after a failure replaces its own rows, and no other's.
     """
+    run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     notes = (
         spark.readStream.format("text")
         .option("wholetext", "true")
@@ -34,8 +37,9 @@ def incremental_extract(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = extract(pack_notes(batch, max_size), settings)
-        rows.write.mode("overwrite").parquet(f"{out}/loaded={loaded(batch_id)}")
+        parts = materialise(pack_notes(batch, max_size), "batch-parts")
+        folder = f"{out}/loaded={loaded(batch_id)}/batch={run}-{batch_id}"
+        extract(parts, settings).write.mode("overwrite").parquet(folder)
 
     return (
         notes.writeStream.foreachBatch(write)
