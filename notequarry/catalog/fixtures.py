@@ -25,7 +25,6 @@ from notequarry.operators.structure import (
     window_frames,
 )
 from notequarry.plans.lookup_table import LookupTable
-from notequarry.plans.spread import spread
 from notequarry.session import materialise
 
 #: Part cap of the queries; small enough that notes have several parts.
@@ -33,6 +32,8 @@ PART_CAP = 2000
 #: Cue words of the invented prose.
 NEGATION_WORDS = ("was", "by")
 UNCERTAINTY_WORDS = ("from", "this")
+#: Closed-class words of the invented prose.
+CLOSED_WORDS = ("of", "to", "in", "for", "with", "on", "at", "de", "en", "von", "zu", "para")
 GROUPS = ("drug", "disorder", "finding", "procedure", "anatomy")
 LONG_WORD = 9
 
@@ -48,7 +49,8 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def note_parts(spark: SparkSession, sf_dir: str, cap: int = PART_CAP) -> DataFrame:
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    # dealt out by note once: sentences, chunks and windows are all grouped within a note
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
     return split_to_parts(docs, cap).select("doc_id", "part", "text")
 
 
@@ -150,7 +152,7 @@ def words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pos_tag(tokens(spark, sf_dir), prepared(spark, sf_dir, "lexicon"))
+    return pos_tag(tokens(spark, sf_dir), prepared(spark, sf_dir, "lexicon"), CLOSED_WORDS)
 
 
 def chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

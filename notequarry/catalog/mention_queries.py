@@ -303,7 +303,7 @@ def lookup_only(spark, sf):
        UNION ALL SELECT doc_id, part, 'chunk', CAST("begin" AS INTEGER), CAST("end" AS INTEGER), chunk_type FROM chunks"""
 )
 def preprocess_only(spark, sf):
-    return jobs.preprocess_only(X.note_parts(spark, sf), X.prepared(spark, sf, "lexicon"))
+    return jobs.preprocess_only(X.note_parts(spark, sf), X.prepared(spark, sf, "lexicon"), X.CLOSED_WORDS)
 
 
 @query(

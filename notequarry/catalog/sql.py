@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from notequarry.catalog.fixtures import (
+    CLOSED_WORDS,
     GROUPS,
     LONG_WORD,
     NEGATION_WORDS,
@@ -12,7 +13,7 @@ from notequarry.catalog.fixtures import (
     UNCERTAINTY_WORDS,
 )
 from notequarry.operators.structure import CHUNK, PUNCTUATION, TOKEN_SHAPES
-from notequarry.resources import CATEGORY_NAMES, CONJUNCTION_WORDS, TREEBANK_TAGS
+from notequarry.resources import CATEGORY_NAMES, TREEBANK_TAGS
 
 
 def literal(text: str) -> str:
@@ -154,7 +155,7 @@ CTES: dict[str, str] = {
             WHEN token_type = 'Punctuation' THEN text
             WHEN token_type IN ('Symbol', 'Newline') THEN 'SYM'
             WHEN lower(text) IN ('and', 'or', 'but') THEN 'CC'
-            WHEN lower(text) IN ({listed(CONJUNCTION_WORDS)}) THEN 'IN'
+            WHEN lower(text) IN ({listed(CLOSED_WORDS)}) THEN 'IN'
             {TAG_OF_BIT}
             WHEN lower(text) LIKE '%ing' THEN 'VBG' WHEN lower(text) LIKE '%ed' THEN 'VBD'
             WHEN lower(text) LIKE '%ly' THEN 'RB' WHEN lower(text) LIKE '%s' THEN 'NNS'

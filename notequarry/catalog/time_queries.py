@@ -19,12 +19,11 @@ from notequarry.resources import (
     DOC_TIME_RELATIONS,
     MONTHS,
     RECURRENCES,
-    TIME_PHRASES,
     UNITS,
     WEEKDAYS,
+    calendar_words,
     number_words,
     plural_unit,
-    time_words,
 )
 
 NUMBERS = [w for w, _ in number_words()]
@@ -214,13 +213,14 @@ def period_set(spark, sf):
 # --------------------------------------------------------------- D10: clock times
 @query(
     """SELECT event_id, CAST(CASE event_id % 4 WHEN 3 THEN 12 ELSE hour(ts) END AS INTEGER) AS hour,
-       CAST(CASE event_id % 4 WHEN 0 THEN minute(ts) WHEN 1 THEN minute(ts) ELSE 0 END AS INTEGER) AS minute FROM events"""
+       CAST(CASE event_id % 4 WHEN 0 THEN minute(ts) WHEN 1 THEN minute(ts) ELSE 0 END AS INTEGER) AS minute,
+       CAST(CASE event_id % 4 WHEN 1 THEN second(ts) ELSE 0 END AS INTEGER) AS second FROM events"""
 )
 def time_of_day(spark, sf):
     ts = F.col("ts")
     phrase = (
         F.when(number() % 4 == 0, F.lower(F.date_format(ts, "h:mm a")))
-        .when(number() % 4 == 1, F.date_format(ts, "HH:mm"))
+        .when(number() % 4 == 1, F.date_format(ts, "HH:mm:ss"))
         .when(number() % 4 == 2, F.lower(F.date_format(ts, "ha")))
         .otherwise(F.lit("noon"))
     )
@@ -230,6 +230,11 @@ def time_of_day(spark, sf):
 
 # ----------------------------------------------------------------- notes of events
 NOTE_PHRASES = ("after", "while", "prior to", "already", "on the next day", "still")
+#: What the phrases of these notes say; of two relations the first by name counts.
+NOTE_RELATIONS = (
+    ("after", "AFTER"), ("while", "DURING"), ("prior to", "BEFORE"), ("already", "BEFORE"), ("on the next day", "AFTER"),
+    ("still", "CONTINUING"), ("still", "DURING"), ("next", "AFTER"), ("every week", "DURING"),
+)
 
 
 def event_notes(spark, sf):
@@ -240,7 +245,8 @@ def event_notes(spark, sf):
         F.lit(". Seen on "), F.date_format(ts, "MMMM d, yyyy"), F.lit(" at "), F.date_format(ts, "HH:mm"),
         F.lit(" , then "), "event_type", F.lit("s every week.\nThe "), "event_type", F.lit(" has no phrase."),
     )
-    return events(spark, sf).select(number().alias("doc_id"), F.lit(1).alias("part"), body.alias("text"))
+    notes = events(spark, sf).select(number().alias("doc_id"), F.lit(1).alias("part"), body.alias("text"), ts.alias("anchor"))
+    return notes.repartition("doc_id")
 
 
 _AMOUNT = f"{sql_at(NUMBERS[:9], 'event_id')} || ' ' || {sql_at(PLURAL[:9], 'event_id // 7')}"
@@ -252,7 +258,12 @@ EVENT_NOTES = {
         || '. Seen on ' || strftime(ts, '%B %-d, %Y') || ' at ' || strftime(ts, '%H:%M') || ' , then ' || event_type
         || 's every week.' || chr(10) || 'The ' || event_type || ' has no phrase.' AS text FROM events""",
 }
-CLASS_OF = {w: c for c, w in time_words()}
+#: Words of these notes that no calendar gives.
+NOTE_WORDS = (
+    ("Adjuster", "last"), ("Adjuster", "next"), ("Adjuster", "ago"), ("Frequency", "every"), ("Time", "yesterday"),
+    ("Time", "today"), ("Time", "tomorrow"), ("TimeReference", "already"),
+)
+CLASS_OF = {w: c for c, w in (*calendar_words(), *NOTE_WORDS)}
 TIME_WORDS = {
     **EVENT_NOTES,
     "time_words": "SELECT unnest([" + listed(CLASS_OF) + "]) AS time_word, unnest([" + listed(CLASS_OF.values()) + "]) AS time_class",
@@ -278,6 +289,7 @@ TIME_RUNS = {
     "time_letters": rf"""SELECT doc_id, part, sent_id, string_agg(CASE
         WHEN regexp_full_match(text, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}') THEN 'D'
         WHEN regexp_full_match(text, '[0-9]{{1,2}}:[0-9]{{2}}') THEN 'C' WHEN text = ',' THEN ','
+        WHEN token_type = 'Num' AND time_class IS NULL AND regexp_full_match(text, '(1[0-9]|20|21)[0-9][0-9]') THEN 'y'
         WHEN token_type = 'Num' AND time_class IS NULL THEN 'n' {_LETTERS} ELSE 'o' END, '' ORDER BY tok_idx) AS letters
         FROM tokens LEFT JOIN time_words ON time_word = lower(text) GROUP BY doc_id, part, sent_id""",
     "time_runs": f"""SELECT doc_id, part, sent_id, run,
@@ -285,7 +297,7 @@ TIME_RUNS = {
         FROM (SELECT doc_id, part, sent_id, unnest(m) AS run, generate_subscripts(m, 1) AS pos FROM
             (SELECT doc_id, part, sent_id, regexp_extract_all(letters, {literal(temporal.TIME_RUN)}) AS m FROM time_letters))""",
     "time_spans": f"""SELECT r.doc_id, r.part, r.sent_id, r.tok_end - length(run) + 1 AS tok_start, r.tok_end,
-        a."begin", b."end", CASE WHEN run IN ('C', 't') THEN 'TIME' WHEN run LIKE 'f%' THEN 'SET'
+        a."begin", b."end", run, CASE WHEN run IN ('C', 't') THEN 'TIME' WHEN run LIKE 'f%' THEN 'SET'
             WHEN run LIKE '%u%' THEN 'DURATION' ELSE 'DATE' END AS time_kind
         FROM time_runs r
         JOIN tokens a ON a.doc_id = r.doc_id AND a.part = r.part AND a.sent_id = r.sent_id AND a.tok_idx = r.tok_end - length(run) + 1
@@ -294,17 +306,33 @@ TIME_RUNS = {
 }
 
 
-@query(pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i time_kind", "time_spans"), TIME_RUNS)
+TIME_VALUES = {
+    **SPANS,
+    **TIME_RUNS,
+    "time_values": f"""SELECT t.*, CASE WHEN run LIKE 'm%' THEN {stamped("r.day")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 1 DAY")}
+            WHEN run IN ('t', 'anu', 'nua') THEN {stamped("r.s")} END AS value_start,
+        CASE WHEN run LIKE 'm%' THEN {stamped("r.day + INTERVAL 1 DAY")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 2 DAY")}
+            WHEN run IN ('t', 'anu', 'nua') THEN {stamped("r.e")} END AS value_end
+        FROM time_spans t JOIN (SELECT s.event_id, s.s, s.e, d.day FROM relative_spans s JOIN relative d ON d.event_id = s.event_id) r
+        ON r.event_id = t.doc_id""",
+}
+
+
+@query(
+    pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i time_kind value_start value_end", "time_values"), TIME_VALUES
+)
 def time_mentions(spark, sf):
-    tokens = structure.tokenize(structure.sentence_split(event_notes(spark, sf)))
-    return temporal.time_mentions(tokens, time_word_table(spark))
+    keys = ("doc_id", "part", "anchor")
+    tokens = structure.tokenize(structure.sentence_split(event_notes(spark, sf), keys), keys)
+    found = temporal.time_mentions(tokens, time_word_table(spark), keys, F.col("anchor")).drop("anchor")
+    return found.withColumns({c: shown(F.col(c)) for c in ("value_start", "value_end")})
 
 
 # ------------------------------------------------------------ phrases and relations
 PHRASES = {
     **EVENT_NOTES,
-    "lexicon_rows": "SELECT unnest([" + listed(p for p, _ in TIME_PHRASES) + "]) AS phrase, unnest(["
-    + listed(r for _, r in TIME_PHRASES) + "]) AS relation",
+    "lexicon_rows": "SELECT unnest([" + listed(p for p, _ in NOTE_RELATIONS) + "]) AS phrase, unnest(["
+    + listed(r for _, r in NOTE_RELATIONS) + "]) AS relation",
     "time_phrases": "SELECT phrase, min(relation) AS relation, len(string_split(phrase, ' ')) AS n FROM lexicon_rows GROUP BY phrase",
     "all_phrases": """SELECT t.doc_id, t.part, t.sent_id, t.tok_idx AS tok_start, t.tok_idx + p.n - 1 AS tok_end,
         t."begin", e."end", p.phrase, p.relation
@@ -319,7 +347,7 @@ PHRASES = {
 
 
 def phrase_table(spark) -> LookupTable:
-    rows = spark.createDataFrame(list(TIME_PHRASES), "phrase string, relation string")
+    rows = spark.createDataFrame(list(NOTE_RELATIONS), "phrase string, relation string")
     return LookupTable.prepare(temporal.phrase_index(rows), "phrases")
 
 
@@ -331,6 +359,24 @@ def lexicon_phrase_join(spark, sf):
     return temporal.lexicon_phrases(words, phrase_table(spark))
 
 
+#: Relations that runs of the benchmark items stand for, over the given notes.
+RUN_RELATIONS = ("BEFORE", "AFTER", "DURING", "STARTING", "CONTINUING", "ENDING", "NOW")
+RUN_PHRASES = {
+    "lexicon_rows": f"SELECT term AS phrase, {sql_at(list(RUN_RELATIONS), 'item_id')} AS relation FROM terms WHERE tcount > 1",
+    **{name: PHRASES[name] for name in ("time_phrases", "all_phrases", "found_phrases")},
+}
+
+
+@query(
+    pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i phrase relation", "found_phrases"), RUN_PHRASES
+)
+def lexicon_phrases_of_notes(spark, sf):
+    runs = X.prepared(spark, sf, "terms").frame.filter("tcount > 1")
+    rows = runs.select(F.col("term").alias("phrase"), at(RUN_RELATIONS, F.col("item_id")).alias("relation"))
+    phrases = LookupTable.prepare(temporal.phrase_index(rows), "run-phrases")
+    return temporal.lexicon_phrases(X.words(spark, sf), phrases)
+
+
 EVENTS_FOUND = {
     **PHRASES,
     "event_terms": "SELECT event_type AS term, min(event_id) + 1 AS cui FROM events GROUP BY event_type",

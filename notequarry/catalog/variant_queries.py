@@ -12,9 +12,9 @@ from notequarry.operators import variants
 from notequarry.plans.lookup_table import LookupTable
 from notequarry.resources import (
     CATEGORY_NAMES,
-    DERIVATION_RULES,
     EXCLUSION_WORDS,
-    INFLECTION_RULES,
+    RULE_MAX_RESULTS,
+    RULE_MIN_TERM_LENGTH,
     TREEBANK_TAGS,
 )
 from notequarry.sources import dictionary as dictionary_sources
@@ -191,6 +191,29 @@ def _parsed_rules(text: str):
     return rules
 
 
+#: Rules over the syllables of the invented prose; they mean nothing in any language.
+INFLECTION_RULES = """
+RULE: Ch$|noun|singular|Cion$|noun|plural
+RULE: VC$|noun|singular|VCnd$|noun|plural
+RULE: CVC$|verb|infinitive|CVSCer$|verb|past
+RULE: $|noun|singular|er$|noun|plural
+EXCEPTION: th|ther;
+EXCEPTION: |er;
+RULE: th$|noun|singular|tion$|noun|plural
+RULE: ou$|verb|infinitive|re$|verb|past
+EXCEPTION: ou|re;
+RULE: CVC$|adj|positive|CVSCes$|adj|comparative
+RULE: $|verb|infinitive|ing$|verb|presPart
+RULE: e$|adj|positive|est$|adj|superlative
+""".strip()
+DERIVATION_RULES = """
+RULE: tion$|noun|base|ble$|adj|base
+RULE: er$|noun|base|$|verb|base
+EXCEPTION: er|;
+RULE: Cha$|noun|base|Cly$|adv|base
+RULE: nd$|verb|base|nt$|adj|base
+""".strip()
+
 _CLASS = {"C": "[bcdfghjklmnpqrstvwxyz]", "V": "[aeiou]"}
 
 
@@ -218,7 +241,6 @@ def rule_sql(text: str, file: str, reverse: bool) -> str:
             made = f"{stem} || right({stem}, 1) || {literal(made_tail)}"
         tests = [f"right(word, {len(tail)}) = {literal(tail)}" if tail else "true"]
         if reverse:
-            tests.append("length(word) >= 3")
             if doubled:
                 n = len(tail)
                 tests.append(f"word[length(word) - {n}] = word[length(word) - {n + 1}]")
@@ -260,7 +282,7 @@ def uninflect_by_rule(spark, sf):
 )
 def rule_limits(spark, sf):
     found = variants.uninflect_candidates(lower_words(spark, sf), rules(spark, INFLECTION_RULES, "inflection"))
-    return variants.rule_limits(found)
+    return variants.rule_limits(found, RULE_MIN_TERM_LENGTH, RULE_MAX_RESULTS)
 
 
 @query(

@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from notequarry.operators import KEYS
 from notequarry.plans.lookup_table import LookupTable
 from notequarry.functions.codes import lowest_category_tag
-from notequarry.resources import CONJUNCTION_WORDS
 
 BLANKS = " \t\r\f"
 
@@ -180,12 +179,13 @@ def merged_token_kind(text: Column) -> Column:
 def pos_tag(
     tokens: DataFrame,
     lexicon: LookupTable,
-    conjunctions: Sequence[str] = CONJUNCTION_WORDS,
+    closed: Sequence[str] = (),
     spread_by: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Add ``pos``: number, closed class, lexicon, suffix, noun; first rule wins.
 
-    ``lexicon`` has one row per lower-cased word: lex_word, lex_bits.
+    ``lexicon`` has one row per lower-cased word: lex_word, lex_bits. ``closed`` lists
+    prepositions and subordinating conjunctions, as ``sources.lexicon.word_list`` reads them.
     """
     lowered = tokens.withColumn("_lower", F.lower("text"))
     hit = lexicon.join(lowered, {"_lower": "lex_word"}, "left", spread_by=spread_by)
@@ -195,7 +195,7 @@ def pos_tag(
         .when(F.col("token_type") == "Punctuation", F.col("text"))
         .when(F.col("token_type").isin("Symbol", "Newline"), F.lit("SYM"))
         .when(word.isin("and", "or", "but"), F.lit("CC"))
-        .when(word.isin(list(conjunctions)), F.lit("IN"))
+        .when(word.isin(list(closed)), F.lit("IN"))
         .when(F.col("lex_word").isNotNull(), lowest_category_tag(F.col("lex_bits")))
         .when(F.endswith(word, F.lit("ing")), F.lit("VBG"))
         .when(F.endswith(word, F.lit("ed")), F.lit("VBD"))

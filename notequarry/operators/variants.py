@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from notequarry.functions.codes import category_names, category_tags
 from notequarry.plans.lookup_table import LookupTable
-from notequarry.resources import EXCLUSION_WORDS, RULE_MAX_RESULTS, RULE_MIN_TERM_LENGTH
+from notequarry.resources import EXCLUSION_WORDS
 
 #: Relation name to (key column, value column) of its lexicon table.
 RELATIONS = {
@@ -145,7 +145,7 @@ def _probe(words: DataFrame, rules: DataFrame, tail: str) -> DataFrame:
 
 def uninflect_candidates(words: DataFrame, rules: DataFrame) -> DataFrame:
     """Every base a rule gives for a word, read from output to input suffix."""
-    probes = _probe(words.filter(F.length("word") >= RULE_MIN_TERM_LENGTH), rules, "out_tail")
+    probes = _probe(words, rules, "out_tail")
     last = F.right("stem", F.lit(1))
     twice = F.right("stem", F.lit(2)) == F.concat(last, last)
     single = F.when(F.col("doubled"), F.left("stem", F.length("stem") - 1)).otherwise(F.col("stem"))
@@ -187,11 +187,11 @@ def derive_by_rule(words: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def rule_limits(
-    candidates: DataFrame, min_length: int = RULE_MIN_TERM_LENGTH, most: int = RULE_MAX_RESULTS
+    candidates: DataFrame, min_length: int | None = None, most: int | None = None
 ) -> DataFrame:
-    """Words long enough, with at most ``most`` results, longest suffix first."""
+    """Ranked candidates, longest suffix first; only of words that are long enough, and only
+    the first ``most``, where such limits are given."""
     order = W.partitionBy("word").orderBy(F.col("suffix_length").desc(), "rule_id")
-    ranked = candidates.filter(F.length("word") >= min_length).withColumn(
-        "rank", F.row_number().over(order)
-    )
-    return ranked.filter(F.col("rank") <= most)
+    long_enough = candidates if min_length is None else candidates.filter(F.length("word") >= min_length)
+    ranked = long_enough.withColumn("rank", F.row_number().over(order))
+    return ranked if most is None else ranked.filter(F.col("rank") <= most)

@@ -54,6 +54,10 @@ class Settings:
     use_default_annotators: bool = True
     negation_cues: Sequence[str] = field(default=NEGATION_CUES)
     uncertainty_cues: Sequence[str] = field(default=UNCERTAINTY_CUES)
+    #: Words of the closed class, for the tags that windows and excluded tags need.
+    closed_words: Sequence[str] = ()
+    #: Tokens with one of these tags start no lookup; needs the lexicon. None looks up all.
+    excluded_tags: Sequence[str] | None = None
 
 
 def pack_notes(notes: DataFrame, max_size: int) -> DataFrame:
@@ -82,6 +86,14 @@ def add_variants(words: DataFrame, variants: LookupTable, keys: Sequence[str]) -
     return words.join(named, [*keys, "sent_id"], "inner")
 
 
+def add_tags(words: DataFrame, sentences: DataFrame, settings: Settings, keys: Sequence[str]) -> DataFrame:
+    """Sentence rows with the tag of each word."""
+    tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words, spread_by=keys)
+    listed = F.array_sort(F.collect_list(F.struct("tok_idx", "pos"))).alias("_t")
+    arrays = tagged.groupBy(*keys, "sent_id").agg(listed).select(*keys, "sent_id", F.col("_t.pos").alias("tags"))
+    return words.join(arrays, [*keys, "sent_id"], "inner")
+
+
 def annotate(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS) -> DataFrame:
     """Mentions of parts (keys, text): looked up, enriched, with polarity."""
     sentences = sentence_split(parts, keys)
@@ -89,15 +101,18 @@ def annotate(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS) -
     match_variants = settings.variants is not None
     if match_variants:
         words = add_variants(words, settings.variants, keys)
+    if settings.excluded_tags is not None:
+        words = add_tags(words, sentences, settings, keys)
     if settings.window == "np":
-        tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, spread_by=keys)
+        tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words, spread_by=keys)
         frames = window_frames(words, lookup_windows(chunk(tagged, keys), keys), keys)
-        if match_variants:
-            inside = F.slice(F.col("variants"), F.col("offset") + 1, F.size("words"))
-            frames = frames.withColumn("variants", inside)
+        for column in ("variants", "tags"):
+            if column in frames.columns:
+                inside = F.slice(F.col(column), F.col("offset") + 1, F.size("words"))
+                frames = frames.withColumn(column, inside)
     else:
         frames = sentence_frames(words)
-    hits = find_terms(frames, settings.dictionary, keys, settings.min_span, match_variants)
+    hits = find_terms(frames, settings.dictionary, keys, settings.min_span, match_variants, settings.excluded_tags)
     found = negation_scope(hits, settings.negation_cues)
     if settings.use_default_annotators:
         found = uncertainty_scope(found, settings.uncertainty_cues)
@@ -142,10 +157,10 @@ def summarise(mentions: DataFrame, keys: Sequence[str]) -> DataFrame:
 def extract(parts: DataFrame, settings: Settings) -> DataFrame:
     """Keyed parts (key, value) to result rows, one per input row.
 
-    Only mentions are shuffled, to be put in order; the text is joined to them by
-    key, which needs no shuffle either when the parts are bucketed by key.
+    Parts are dealt out by their keys once, and that exchange is used twice: mentions are
+    put in order and joined to the text where both already lie, so the text moves once.
     """
-    parsed = parse_keys(parts).withColumn("text_id", F.xxhash64("value"))
+    parsed = parse_keys(parts).withColumn("text_id", F.xxhash64("value")).repartition(*PART_KEYS)
     good = parsed.filter(F.col("failure").isNull()).select(
         *PART_KEYS, legal_char_scrub(F.col("value")).alias("text")
     )
@@ -190,11 +205,13 @@ def lookup_only(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS
     return annotate(parts, plain, keys)
 
 
-def preprocess_only(parts: DataFrame, lexicon: LookupTable, keys: Sequence[str] = KEYS) -> DataFrame:
+def preprocess_only(
+    parts: DataFrame, lexicon: LookupTable, closed: Sequence[str] = (), keys: Sequence[str] = KEYS
+) -> DataFrame:
     """Segments, sentences, tokens and chunks as one span table."""
     clean = parts.withColumn("text", form_feed_to_space(F.col("text")))
     sentences = sentence_split(clean, keys)
-    tagged = pos_tag(tokenize(sentences, keys), lexicon, spread_by=keys)
+    tagged = pos_tag(tokenize(sentences, keys), lexicon, closed, spread_by=keys)
     rows = [
         segment(clean, keys).select(*keys, F.lit("segment").alias("kind"), "begin", "end", F.col("seg_id").alias("label")),
         sentences.select(*keys, F.lit("sentence").alias("kind"), "begin", "end", F.col("sent_id").cast("string").alias("label")),

@@ -5,12 +5,11 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from notequarry.functions import codes, keys, text, times
-from notequarry.operators import context, spans, structure, variants
+from notequarry.operators import context, spans, structure, temporal, variants
 from notequarry.operators.dictionary import find_terms
 from notequarry.operators.parts import split_to_parts
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable
-from notequarry.resources import DERIVATION_RULES, INFLECTION_RULES
 from notequarry.sources import files, lexicon
 
 
@@ -166,20 +165,46 @@ def test_containment_across_buckets_matches_brute_force(spark):
     assert sorted(tuple(r) for r in got.collect()) == expected
 
 
+#: Examples of every rule class: consonant, vowel, doubled consonant, exception, empty tail.
+FORMS = """
+RULE: Cy$|noun|singular|Cies$|noun|plural
+RULE: CVC$|adj|positive|CVSCer$|adj|comparative
+RULE: goose$|noun|singular|geese$|noun|plural
+RULE: $|noun|singular|s$|noun|plural
+EXCEPTION: ga|gas;
+""".strip()
+MADE = """
+RULE: ness$|noun|base|$|adj|base
+RULE: $|adj|base|ish$|adj|base
+EXCEPTION: red|redish;
+""".strip()
+
+
 def rule_table(spark, rules):
     return lexicon.rule_lines(lexicon.text_lines(spark, "rules", rules))
 
 
-@pytest.mark.parametrize("word, base", [("men", "man"), ("teeth", "tooth"), ("bodies", "body"), ("bigger", "big"), ("this", None)])
+@pytest.mark.parametrize(
+    "word, base", [("geese", "goose"), ("ponies", "pony"), ("redder", "red"), ("gas", None), ("is", "i"), ("trees", "tree")]
+)
 def test_uninflect(spark, word, base):
     words = spark.createDataFrame([(word,)], "word string")
-    found = variants.uninflect_by_rule(words, rule_table(spark, INFLECTION_RULES)).collect()
+    found = variants.uninflect_by_rule(words, rule_table(spark, FORMS)).collect()
     assert [r.base for r in found] == ([base] if base else [])
 
 
 def test_derive(spark):
-    words = spark.createDataFrame([("readability",)], "word string")
-    assert "readable" in [r.form for r in variants.derive_by_rule(words, rule_table(spark, DERIVATION_RULES)).collect()]
+    words = spark.createDataFrame([("goodness",), ("red",)], "word string")
+    made = variants.derive_by_rule(words, rule_table(spark, MADE)).collect()
+    assert {(r.word, r.form) for r in made} == {("goodness", "good"), ("goodness", "goodnessish")}
+
+
+def test_limits_apply_only_where_given(spark):
+    rows = [("ab", "a", "r1", 1), *[("word", f"b{i}", f"r{i}", i) for i in range(12)]]
+    candidates = spark.createDataFrame(rows, "word string, base string, rule_id string, suffix_length int")
+    assert variants.rule_limits(candidates).count() == 13
+    limited = variants.rule_limits(candidates, 3, 10).collect()
+    assert sorted(r.suffix_length for r in limited) == list(range(2, 12))
 
 
 def test_insert_script_with_quotes(spark):
@@ -195,6 +220,17 @@ def test_insert_script_with_quotes(spark):
         ("last three weeks", "2024-02-19", "2024-03-11"),
         ("two days ago", "2024-03-11", "2024-03-12"),
         ("next month", "2024-04-01", "2024-05-01"),
+        ("two hundred days ago", "2023-08-26", "2023-08-27"),
+        ("last monday", "2024-03-11", "2024-03-12"),
+        ("last wednesday", "2024-03-06", "2024-03-07"),
+        ("next wednesday", "2024-03-20", "2024-03-21"),
+        ("this friday", "2024-03-15", "2024-03-16"),
+        ("latest wednesday", "2024-03-13", "2024-03-14"),
+        ("next january", "2025-01-01", "2025-02-01"),
+        ("last march", "2023-03-01", "2023-04-01"),
+        ("2000000000 years ago", None, None),
+        ("99999999 years ago", None, None),
+        ("2000000000 weeks ago", None, None),
         ("gibberish", None, None),
     ],
 )
@@ -204,6 +240,73 @@ def test_relative_span(spark, phrase, start, end):
     assert shown == [start, end]
 
 
+@pytest.mark.parametrize(
+    "phrase, start, end",
+    [
+        ("march 5, 2024", "2024-03-05", "2024-03-06"),
+        ("5th of march 2024", "2024-03-05", "2024-03-06"),
+        ("3/5/2024", "2024-03-05", "2024-03-06"),
+        ("3/5/69", "2069-03-05", "2069-03-06"),
+        ("3/5/70", "1970-03-05", "1970-03-06"),
+        ("13/5/2024", None, None),
+        ("2024-02-29", "2024-02-29", "2024-03-01"),
+        ("2024 march", "2024-03-01", "2024-04-01"),
+        ("christmas 2024", "2024-12-25", "2024-12-26"),
+        ("2035", "2035-01-01", "2036-01-01"),
+        ("1935", "1935-01-01", "1936-01-01"),
+    ],
+)
+def test_absolute_date(spark, phrase, start, end):
+    v = value(spark, times.absolute_date(F.lit(phrase)))
+    assert [x and x.strftime("%Y-%m-%d") for x in (v.start, v.end)] == [start, end]
+
+
+@pytest.mark.parametrize(
+    "text, n",
+    [("200", 200), ("two hundred", 200), ("a hundred and five", 105), ("three thousand", 3000), ("ten thousand two hundred one", 10201),
+     ("hundred", 100), ("many", None), ("99999999999", None), ("couple of", 2)],
+)
+def test_count_value(spark, text, n):
+    assert value(spark, times.count_value(F.lit(text))) == n
+
+
+@pytest.mark.parametrize("text, found", [("10:30:15", (10, 30, 15)), ("10:30:75", (None, None, None)), ("9 pm", (21, 0, 0))])
+def test_time_of_day(spark, text, found):
+    assert tuple(value(spark, times.time_of_day(F.lit(text)))) == found
+
+
+def test_years_of_any_century_are_years(spark):
+    notes = spark.createDataFrame([(1, 1, "In 2035 or 1935 , not 2500 , 12 ab")], "doc_id bigint, part int, text string")
+    words = LookupTable.fixed(spark, [("none", "Unit")], "time_word string, time_class string")
+    tokens = structure.tokenize(structure.sentence_split(notes))
+    found = temporal.time_mentions(tokens, words, anchor=F.lit("2024-03-13").cast("timestamp"))
+    assert sorted(r.value_start.year for r in found.collect()) == [1935, 2035]
+
+
+def test_wrong_bytes_do_not_end_the_job(spark, tmp_path):
+    (tmp_path / "good.txt").write_bytes("caf\u00e9".encode())
+    (tmp_path / "bad.txt").write_bytes(b"caf\xe9 noir")
+    rows = {r.path.rsplit("/", 1)[1]: (r.text, r.failure) for r in files.whole_texts(spark, str(tmp_path)).collect()}
+    assert rows == {"good.txt": ("caf\u00e9", None), "bad.txt": ("caf\ufffd noir", "UNDECODABLE_BYTES")}
+    one = files.whole_texts(spark, str(tmp_path / "good.txt")).collect()
+    assert [r.text for r in one] == ["caf\u00e9"]
+
+
+def test_excluded_tags_start_no_lookup(spark):
+    terms = [(1, 0, 1, "alpha", "alpha"), (2, 0, 1, "beta", "beta")]
+    table = LookupTable.fixed(spark, terms, "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(1, 1, "a", "drug", "RX", "1", "C1")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    lexicon_ = LookupTable.fixed(spark, [("beta", 1024)], "lex_word string, lex_bits int")
+    notes = spark.createDataFrame([(1, 1, "Alpha and beta.")], "doc_id bigint, part int, text string")
+    found = lambda tags: sorted(
+        r.cui for r in jobs.annotate(notes, jobs.Settings(table, concepts, lexicon=lexicon_, excluded_tags=tags)).collect()
+    )
+    assert (found(None), found(("VB",))) == ([1, 2], [1])
+
+
 def test_missing_root_is_an_error(spark):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         files.whole_files(spark, "/tmp/no-such-folder-of-notes").count()
