@@ -107,7 +107,7 @@ def _prepared(app: str, sf_dir: str, name: str) -> LookupTable:
             "doc_id", F.explode_outer("words").alias("word")
         )
         counts = (
-            wanted.join(seen, {"word": "wanted"}, "left_semi", spread_by=["doc_id"])
+            wanted.join(seen, {"word": "wanted"}, "left_semi")
             .groupBy("word")
             .agg(F.count(F.lit(1)).alias("n_docs"))
         )

@@ -51,10 +51,10 @@ def lookup_pos_exclusion(tokens: DataFrame, tags: Sequence[str] = LOOKUP_EXCLUDE
 
 
 def rare_word_join(
-    tokens: DataFrame, dictionary: LookupTable, word: str = "word", spread_by: Sequence[str] = KEYS
+    tokens: DataFrame, dictionary: LookupTable, word: str = "word"
 ) -> DataFrame:
     """Every (token, term) pair where the token is the term's rarest word."""
-    return dictionary.join(tokens, {word: "rword"}, "inner", spread_by=spread_by)
+    return dictionary.join(tokens, {word: "rword"}, "inner")
 
 
 def with_neighbour(dictionary: LookupTable) -> LookupTable:
@@ -72,7 +72,7 @@ def with_neighbour(dictionary: LookupTable) -> LookupTable:
         .otherwise(F.get(words, F.col("rindex") - 1))
     )
     frame = dictionary.frame.withColumn("term_side", side).withColumn("term_near", near)
-    return LookupTable(frame, dictionary.broadcastable, dictionary.size_bytes)
+    return dictionary.derived(frame, 2)  # a neighbour is no longer than its term
 
 
 def find_terms(
@@ -85,17 +85,23 @@ def find_terms(
 ) -> DataFrame:
     """Dictionary hits in lookup frames.
 
-    Frames hold the words of a window in an array. Each word probes the
-    dictionary by its rarest word; the phrase is then compared on the same row.
-    With ``match_variants`` frames also hold ``variants`` (null where a word has
-    none). With ``excluded_tags`` they hold ``tags``.
+    Frames hold the words of a window in an array. Each word probes the dictionary by its
+    rarest word and that word's neighbour. A dictionary that may be broadcast is compared on
+    the row of the frame, and nothing is shuffled. Beyond that only slim probes are
+    shuffled, a few numbers and words each; the candidates that come back meet their frame
+    once, and the phrase is compared there.
+
+    With ``match_variants`` frames also hold ``variants`` (null where a word has none). With
+    ``excluded_tags`` they hold ``tags``. Dictionary rows are distinct.
     """
-    carried = [*keys, "sent_id", "sent_begin", "pieces", "words", "sent_words", "offset"]
+    frame_keys = [*keys, "sent_id", "offset"]
+    carried = [*frame_keys, "sent_begin", "pieces", "words", "sent_words"]
     if match_variants:
         carried.append("variants")
     if excluded_tags is not None:
         carried.append("tags")
-    probes = frames.select(*carried, F.posexplode_outer("words").alias("idx", "word"))
+    frames = frames.select(*carried)
+    probes = frames.select("*", F.posexplode_outer("words").alias("idx", "word"))
     if excluded_tags is not None:
         tag = F.element_at(F.col("tags"), F.col("idx") + 1)
         probes = probes.filter(F.col("word").isNotNull() & ~tag.isin(list(excluded_tags)))
@@ -126,7 +132,12 @@ def find_terms(
         probes = probes.select("*", F.inline(sides))
         dictionary = with_neighbour(dictionary)
         on = {"word": "rword", "side": "term_side", "near": "term_near"}
-    hits = dictionary.join(probes, on, "inner", residual, spread_by=[*keys, "sent_id"])
+    if dictionary.broadcastable:
+        hits = dictionary.join(probes, on, "inner", residual)
+    else:
+        slim = probes.filter(F.col("word").isNotNull()).select(*frame_keys, "idx", *on)
+        found = dictionary.join(slim, on, "inner").select(*frame_keys, "idx", "cui", "rindex", "tcount", "term")
+        hits = frames.join(found.distinct(), frame_keys, "inner").filter(residual)
 
     placed = hits.select(
         *keys,
@@ -160,13 +171,13 @@ def find_terms(
 
 
 def concept_enrich(
-    hits: DataFrame, concepts: LookupTable, spread_by: Sequence[str] = KEYS
+    hits: DataFrame, concepts: LookupTable
 ) -> DataFrame:
     """Concept attributes of each hit; hits without a concept stay.
 
     ``concepts``: concept_id, tui, pref_term, sem_group, scheme, code, concept_cui.
     """
-    joined = concepts.join(hits, {"cui": "concept_id"}, "left", spread_by=spread_by).drop("concept_id")
+    joined = concepts.join(hits, {"cui": "concept_id"}, "left").drop("concept_id")
     kind = F.when(F.col("sem_group") == "anatomy", F.lit("entity")).otherwise(F.lit("event"))
     named = concept_code(F.col("concept_cui"), F.col("scheme"), F.col("code"))
     return joined.withColumn("mention_class", kind).withColumn("concept", named)

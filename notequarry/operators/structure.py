@@ -180,7 +180,6 @@ def pos_tag(
     tokens: DataFrame,
     lexicon: LookupTable,
     closed: Sequence[str] = (),
-    spread_by: Sequence[str] = KEYS,
 ) -> DataFrame:
     """Add ``pos``: number, closed class, lexicon, suffix, noun; first rule wins.
 
@@ -188,7 +187,7 @@ def pos_tag(
     prepositions and subordinating conjunctions, as ``sources.lexicon.word_list`` reads them.
     """
     lowered = tokens.withColumn("_lower", F.lower("text"))
-    hit = lexicon.join(lowered, {"_lower": "lex_word"}, "left", spread_by=spread_by)
+    hit = lexicon.join(lowered, {"_lower": "lex_word"}, "left")
     word = F.col("_lower")
     pos = (
         F.when(F.col("token_type") == "Num", F.lit("CD"))

@@ -59,8 +59,8 @@ def canonical_form(
     if cache is None:
         cached = wanted.withColumn("norm", F.lit(None).cast("string"))
     else:
-        cached = cache.join(wanted, {"word": "cached_word"}, "left", spread_by=["word"]).drop("cached_word")
-    known = bases.join(cached, {"lower": "form"}, "left", spread_by=["word"]).drop("form")
+        cached = cache.join(wanted, {"word": "cached_word"}, "left").drop("cached_word")
+    known = bases.join(cached, {"lower": "form"}, "left").drop("form")
     rest = known.filter(F.col("norm").isNull() & F.col("base").isNull())
     by_rule = uninflect_by_rule(rest.select(F.col("lower").alias("word")).distinct(), rules)
     ruled = known.join(
@@ -71,7 +71,7 @@ def canonical_form(
 
 def lemma_lookup(words: DataFrame, lemmas: LookupTable) -> DataFrame:
     """(word, lemma, tag) rows; ``lemmas``: lemma_word, lemma, lemma_bits."""
-    joined = lemmas.join(words, {"word": "lemma_word"}, "inner", spread_by=["word"])
+    joined = lemmas.join(words, {"word": "lemma_word"}, "inner")
     return joined.select("word", "lemma", F.explode(category_tags(F.col("lemma_bits"))).alias("tag")).distinct()
 
 
@@ -83,9 +83,9 @@ def lemma_pos_sets(lemma_rows: DataFrame) -> DataFrame:
 def inflection_variants(words: DataFrame, inflection: LookupTable) -> DataFrame:
     """All inflected forms of the entries a word belongs to, with their categories."""
     entry = inflection.frame.select(F.col("if_term_lc").alias("form"), F.col("eui").alias("entry")).distinct()
-    entries = LookupTable(entry, inflection.broadcastable, inflection.size_bytes)
-    found = entries.join(words, {"word": "form"}, "inner", spread_by=["word"]).select("word", "entry")
-    forms = inflection.join(found, {"entry": "eui"}, "inner", spread_by=["word"])
+    entries = inflection.derived(entry)  # two of its columns
+    found = entries.join(words, {"word": "form"}, "inner").select("word", "entry")
+    forms = inflection.join(found, {"entry": "eui"}, "inner")
     names = F.array_join(category_names(F.col("term_cat")), "+")
     return forms.select("word", F.col("if_term").alias("variant"), names.alias("categories")).distinct()
 
@@ -93,7 +93,7 @@ def inflection_variants(words: DataFrame, inflection: LookupTable) -> DataFrame:
 def lexicon_relations(words: DataFrame, lexicon: LookupTable, relation: str) -> DataFrame:
     """Related terms of each word by one relation of the lexicon."""
     key, value = RELATIONS[relation]
-    joined = lexicon.join(words, {"word": key}, "inner", spread_by=["word"])
+    joined = lexicon.join(words, {"word": key}, "inner")
     return joined.select("word", F.lit(relation).alias("relation"), F.col(value).alias("related")).distinct()
 
 
@@ -139,7 +139,7 @@ def _probe(words: DataFrame, rules: DataFrame, tail: str) -> DataFrame:
     endings = words.select("word", F.explode(sizes).alias("n")).select(
         "word", "n", F.right("word", F.col("n")).alias("ending")
     )
-    joined = table.join(endings, {"ending": tail}, "inner", spread_by=["word"])
+    joined = table.join(endings, {"ending": tail}, "inner")
     return joined.withColumn("stem", F.left("word", F.length("word") - F.col("n")))
 
 

@@ -79,7 +79,7 @@ def add_variants(words: DataFrame, variants: LookupTable, keys: Sequence[str]) -
     ``variants``: form, canonical, one row per lower-cased word.
     """
     listed = words.select(*keys, "sent_id", F.posexplode("words").alias("i", "w"))
-    found = variants.join(listed, {"w": "form"}, "left", spread_by=[*keys, "sent_id"])
+    found = variants.join(listed, {"w": "form"}, "left")
     entry = F.struct("i", "canonical")
     arrays = found.groupBy(*keys, "sent_id").agg(F.array_sort(F.collect_list(entry)).alias("_v"))
     named = arrays.select(*keys, "sent_id", F.col("_v.canonical").alias("variants"))
@@ -88,7 +88,7 @@ def add_variants(words: DataFrame, variants: LookupTable, keys: Sequence[str]) -
 
 def add_tags(words: DataFrame, sentences: DataFrame, settings: Settings, keys: Sequence[str]) -> DataFrame:
     """Sentence rows with the tag of each word."""
-    tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words, spread_by=keys)
+    tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words)
     listed = F.array_sort(F.collect_list(F.struct("tok_idx", "pos"))).alias("_t")
     arrays = tagged.groupBy(*keys, "sent_id").agg(listed).select(*keys, "sent_id", F.col("_t.pos").alias("tags"))
     return words.join(arrays, [*keys, "sent_id"], "inner")
@@ -104,7 +104,7 @@ def annotate(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS) -
     if settings.excluded_tags is not None:
         words = add_tags(words, sentences, settings, keys)
     if settings.window == "np":
-        tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words, spread_by=keys)
+        tagged = pos_tag(tokenize(sentences, keys), settings.lexicon, settings.closed_words)
         frames = window_frames(words, lookup_windows(chunk(tagged, keys), keys), keys)
         for column in ("variants", "tags"):
             if column in frames.columns:
@@ -118,7 +118,7 @@ def annotate(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS) -
         found = uncertainty_scope(found, settings.uncertainty_cues)
     else:
         found = found.withColumn("uncertainty", F.lit(0))
-    return concept_enrich(found.drop("words"), settings.concepts, spread_by=[*keys, "sent_id"])
+    return concept_enrich(found.drop("words"), settings.concepts)
 
 
 def summarise(mentions: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -157,10 +157,10 @@ def summarise(mentions: DataFrame, keys: Sequence[str]) -> DataFrame:
 def extract(parts: DataFrame, settings: Settings) -> DataFrame:
     """Keyed parts (key, value) to result rows, one per input row.
 
-    Parts are dealt out by their keys once, and that exchange is used twice: mentions are
-    put in order and joined to the text where both already lie, so the text moves once.
+    Up to the mentions no text is shuffled. Mentions are shuffled to be put in order per
+    part, and the text moves once, to meet them.
     """
-    parsed = parse_keys(parts).withColumn("text_id", F.xxhash64("value")).repartition(*PART_KEYS)
+    parsed = parse_keys(parts).withColumn("text_id", F.xxhash64("value"))
     good = parsed.filter(F.col("failure").isNull()).select(
         *PART_KEYS, legal_char_scrub(F.col("value")).alias("text")
     )
@@ -211,7 +211,7 @@ def preprocess_only(
     """Segments, sentences, tokens and chunks as one span table."""
     clean = parts.withColumn("text", form_feed_to_space(F.col("text")))
     sentences = sentence_split(clean, keys)
-    tagged = pos_tag(tokenize(sentences, keys), lexicon, closed, spread_by=keys)
+    tagged = pos_tag(tokenize(sentences, keys), lexicon, closed)
     rows = [
         segment(clean, keys).select(*keys, F.lit("segment").alias("kind"), "begin", "end", F.col("seg_id").alias("label")),
         sentences.select(*keys, F.lit("sentence").alias("kind"), "begin", "end", F.col("sent_id").cast("string").alias("label")),

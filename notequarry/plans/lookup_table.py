@@ -1,8 +1,9 @@
 """Reference tables (dictionary, concepts, lexicons) joined to large fact tables.
 
-A table is broadcast only after its stored bytes have been counted. Beyond the
-limit the join is a shuffle join whose fact side is salted, so that a word that
-makes up a third of all tokens is spread over many tasks.
+A table is broadcast only after its stored bytes have been counted. Beyond the limit the
+join is a shuffle join with the facts on the left, which adaptive execution splits where
+the counted size of a partition shows a hot key, such as a word that is a third of all
+tokens; no other key pays for it.
 """
 
 from __future__ import annotations
@@ -17,8 +18,6 @@ from notequarry.session import materialise
 
 #: Widest table that is sent to every executor, in bytes of its values.
 BROADCAST_LIMIT = 128 * 1024 * 1024
-#: Ways a fact key is split when the table is too wide to broadcast.
-SALT_WAYS = 16
 _ROW_OVERHEAD = 32
 
 
@@ -36,59 +35,44 @@ class LookupTable:
     """A stored reference table and whether it was small enough to broadcast."""
 
     frame: DataFrame
-    broadcastable: bool
     size_bytes: int
+    limit: int = BROADCAST_LIMIT
+
+    @property
+    def broadcastable(self) -> bool:
+        return self.size_bytes <= self.limit
 
     @classmethod
     def prepare(cls, frame: DataFrame, name: str, limit: int = BROADCAST_LIMIT) -> LookupTable:
         """Store a derived table once, count its bytes and choose the strategy."""
-        stored = materialise(frame, name)
-        size = value_bytes(stored)
-        return cls(stored, size <= limit, size)
+        return cls.stored(materialise(frame, name), limit)
 
     @classmethod
     def stored(cls, frame: DataFrame, limit: int = BROADCAST_LIMIT) -> LookupTable:
         """Wrap a table that is already in storage."""
-        size = value_bytes(frame)
-        return cls(frame, size <= limit, size)
+        return cls(frame, value_bytes(frame), limit)
 
     @classmethod
-    def fixed(cls, spark: SparkSession, rows: Sequence[tuple], schema: str) -> LookupTable:
-        """A table spelled out in the code; its size is the length of the list."""
+    def fixed(cls, spark: SparkSession, rows: Sequence[tuple], schema: str, limit: int = BROADCAST_LIMIT) -> LookupTable:
+        """A table spelled out in the code; its size is that of the list."""
         frame = spark.createDataFrame(list(rows), schema)
-        return cls(frame, True, sum(len(str(v)) for row in rows for v in row))
-
-    def join(
-        self,
-        facts: DataFrame,
-        on: dict[str, str],
-        how: str = "inner",
-        residual: Column | None = None,
-        spread_by: Sequence[str] = ("doc_id", "part"),
-    ) -> DataFrame:
+        return cls(frame, sum(_ROW_OVERHEAD + sum(8 + len(str(v)) for v in row) for row in rows), limit)
+
+    def derived(self, frame: DataFrame, times: int = 1) -> LookupTable:
+        """A table computed from this one, at most ``times`` as wide in bytes."""
+        return LookupTable(frame, self.size_bytes * times, self.limit)
+
+    def join(self, facts: DataFrame, on: dict[str, str], how: str = "inner", residual: Column | None = None) -> DataFrame:
         """Join ``facts`` to this table, ``on`` mapping fact column to table column.
 
         ``how`` may be inner, left, left_semi or left_anti. Columns of both sides
-        must differ in name. ``spread_by`` names fact columns whose hash splits
-        hot keys when the table cannot be broadcast.
+        must differ in name.
         """
-        condition = F.lit(True)
-        first = True
+        condition = None
         for left, right in on.items():
             term = facts[left] == self.frame[right]
-            condition = term if first else condition & term
-            first = False
-        if residual is not None:
-            condition = condition & residual
-        if self.broadcastable:
-            return facts.join(F.broadcast(self.frame), condition, how)
-        ways = F.explode(F.sequence(F.lit(0), F.lit(SALT_WAYS - 1)))
-        table = self.frame.withColumn("_way", ways)
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in spread_by]), F.lit(SALT_WAYS)).cast("int")
-        spread = facts.withColumn("_spread", salt)
-        condition = F.col("_spread") == F.col("_way")
-        for left, right in on.items():
-            condition = condition & (F.col(left) == F.col(right))
+            condition = term if condition is None else condition & term
         if residual is not None:
             condition = condition & residual
-        return spread.join(table, condition, how).drop("_spread", "_way")
+        table = F.broadcast(self.frame) if self.broadcastable else self.frame.hint("merge")
+        return facts.join(table, condition, how)

@@ -1,5 +1,7 @@
 """Golden cases and edges of single operators."""
 
+import re
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -140,13 +142,71 @@ def test_shuffled_lookup_equals_broadcast(spark):
     frame = spark.createDataFrame([(i, 1, content) for i in range(5)], "doc_id bigint, part int, text string")
     rows = [(1, 0, 2, "alpha beta", "alpha"), (2, 1, 2, "and alpha", "alpha"), (3, 0, 1, "beta", "beta")]
     table = LookupTable.fixed(spark, rows, "cui bigint, rindex int, tcount int, term string, rword string")
-    wide = LookupTable(table.frame, False, table.size_bytes)
+    wide = LookupTable(table.frame, table.size_bytes, limit=0)
     frames = structure.sentence_frames(structure.sentence_words(structure.sentence_split(frame)))
     expected = sorted(find_terms(frames, table).drop("words").collect())
     assert sorted(find_terms(frames, wide).drop("words").collect()) == expected
     assert len(expected) == 5 * 20 * 5
 
 
+def exchanges(frame):
+    """(partitioning, input columns) of every exchange of the plan, broadcasts left out."""
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    shown = frame._jdf.queryExecution().explainString(mode)
+    return re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]\nArguments: (\w+\(?[^,)]*)", shown)
+
+
+def test_only_slim_probes_meet_a_large_dictionary(spark):
+    notes = spark.createDataFrame([(1, 1, "alpha beta and alpha.")], "doc_id bigint, part int, text string")
+    table = LookupTable.fixed(spark, [(1, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    wide = LookupTable(table.frame, table.size_bytes, limit=0)
+    frames = structure.sentence_frames(structure.sentence_words(structure.sentence_split(notes)))
+    found = exchanges(find_terms(frames, wide))
+    by_word = [columns for columns, kind in found if "word" in kind]
+    assert by_word and not any(c.startswith(("words", "pieces", "sent_words")) for x in by_word for c in x.split(", "))
+    assert sum("pieces" in columns for columns, _ in found) == 1
+    assert exchanges(find_terms(frames, table)) == []
+
+
+def test_variants_and_tags_in_a_large_dictionary(spark):
+    words = ["alphas", "beta", "and", "beta"]
+    rows = [(1, 1, i, 0, ["alphas", " beta", " and", " beta"], words, ["alpha", None, None, None], ["NNS", "NN", "CC", "VB"]) for i in range(3)]
+    schema = "doc_id bigint, part int, sent_id int, sent_begin int, pieces array<string>, words array<string>, variants array<string>, tags array<string>"
+    frames = structure.sentence_frames(spark.createDataFrame(rows, schema))
+    terms = [(1, 0, 2, "alpha beta", "alpha"), (2, 1, 2, "and beta", "beta"), (3, 0, 1, "beta", "beta")]
+    table = LookupTable.fixed(spark, terms, "cui bigint, rindex int, tcount int, term string, rword string")
+    wide = LookupTable(table.frame, table.size_bytes, limit=0)
+    for tags in (None, ("VB",)):
+        one, two = (sorted(find_terms(frames, t, match_variants=True, excluded_tags=tags).drop("words").collect()) for t in (table, wide))
+        assert one == two
+        assert sorted({r.cui for r in one}) == ([1, 2, 3] if tags is None else [1, 3])
+
+
+@pytest.mark.parametrize("partitions", [1, 40])
+def test_sentences_and_windows_need_no_exchange_of_their_own(spark, partitions):
+    notes = spark.range(20).selectExpr("id AS doc_id", "repeat('The old cat sat by it. ', 9) AS text").repartition(partitions)
+    parts = split_to_parts(notes.repartition("doc_id"), 100).select("doc_id", "part", "text")
+    lexicon_ = LookupTable.fixed(spark, [("old", 1), ("cat", 128)], "lex_word string, lex_bits int")
+    tagged = structure.pos_tag(structure.tokenize(structure.sentence_split(parts)), lexicon_, ("by",))
+    windows = structure.lookup_windows(structure.chunk(tagged))
+    kinds = [kind for _, kind in exchanges(windows)]
+    assert sum(k.startswith("hashpartitioning") for k in kinds) == 1
+    assert windows.count() > 0
+
+
+def test_extract_moves_the_text_once(spark):
+    table = LookupTable.fixed(spark, [(7, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(7, 100, "alpha", "drug", "RX", "9", "C0000007")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    parts = spark.range(200).selectExpr("concat('/n/', id, '.txt-1') AS key", "concat('no alpha ', id) AS value").repartition(7)
+    result = jobs.extract(parts, jobs.Settings(table, concepts))
+    assert result.count() == 200
+    by_key = [columns for columns, kind in exchanges(result) if "hashpartitioning(key" in kind]
+    assert sum("value" in columns or "text" in columns.replace("text_id", "") for columns in by_key) == 1
+
+
 def test_windows_keep_one_of_equal_spans(spark):
     rows = [(1, 1, 0, 10), (1, 1, 0, 10), (1, 1, 2, 5), (1, 1, 8, 12), (1, 1, 0, 4)]
     frame = spark.createDataFrame(rows, "doc_id bigint, part int, begin int, end int")
