@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 
 import pandas as pd
 from pyspark.sql import functions as F
@@ -97,7 +96,8 @@ def packed_part_sink(spark, sf):
 
 @query("SELECT doc_id, text FROM documents")
 def table_source(spark, sf):
-    name = f"notes_{uuid.uuid4().hex}"
+    name = "notequarry_notes"  # one name, so that calls leave one table and not many
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{sf}/documents.parquet'")
     return files.table_source(spark, name).select("doc_id", "text")
 
@@ -134,8 +134,7 @@ def partitioned_append_sink(spark, sf):
 
 @query(f"SELECT *, '202601010930' AS loaded FROM ({ROWS})")
 def result_table_ddl(spark, sf):
-    tag = uuid.uuid4().hex
-    table, template = f"results_{tag}", f"template_{tag}"
+    table, template = "notequarry_results", "notequarry_template"
     sinks.create_result_tables(spark, table, template, scratch_path(spark, "tables"))
     rows = result_rows(spark, sf).withColumn("loaded", F.lit("202601010930"))
     sinks.union_template(spark.table(template), rows).write.mode("append").insertInto(table)

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from notequarry.functions.codes import names_to_bits
+from notequarry.session import materialise
 from notequarry.resources import CACHE_FREQUENCY_CUTOFF, LEMMA_CACHE_FIELDS, NORM_CACHE_FIELDS
 
 #: Columns of the lexicon tables an insert script may fill.
@@ -92,7 +93,10 @@ def lemma_cache(lines: DataFrame, cutoff: int = CACHE_FREQUENCY_CUTOFF) -> DataF
 
 
 def rule_lines(lines: DataFrame) -> DataFrame:
-    """Rules of rule files, each with the exceptions that follow it."""
+    """Rules of rule files, each with the exceptions that follow it.
+
+    The lines of one file are ordered in one task; rule files are a few hundred lines.
+    """
     rule = r"\ARULE:\s*([^|]*)\|([^|]*)\|([^|]*)\|([^|]*)\|([^|]*)\|(.*?)\s*\z"
     exception = r"\AEXCEPTION:\s*([^|;]*)\|([^|;]*);?\s*\z"
     marked = lines.select(
@@ -119,18 +123,30 @@ def rule_lines(lines: DataFrame) -> DataFrame:
     )
 
 
-def rule_includes(lines: DataFrame) -> DataFrame:
-    """``FILE: name`` lines: which file pulls in which."""
-    pattern = r"\AFILE:\s*(\S+)\s*\z"
-    name = F.regexp_extract("line", pattern, 1)
-    return lines.filter(F.col("line").rlike(pattern)).select("file", name.alias("included")).distinct()
+#: A ``FILE: name`` line pulls another file in.
+INCLUDE = r"\AFILE:\s*(\S+)\s*\z"
+
 
+def include_files(lines: DataFrame, root: str, depth: int = 20) -> DataFrame:
+    """Lines of the file ``root`` with every ``FILE:`` line replaced by the lines of that file.
 
-def rules_of(rules: DataFrame, includes: DataFrame, file: str) -> DataFrame:
-    """Rules of a file and of the files it includes."""
-    wanted = includes.filter(F.col("file") == file).select(F.col("included").alias("_file"))
-    included = rules.join(wanted, rules["file"] == F.col("_file"), "left_semi")
-    return rules.filter(F.col("file") == file).unionByName(included)
+    Includes are followed in place and at any depth; ``line_no`` becomes the path of
+    positions that leads to a line, which orders them. A file that is missing adds nothing;
+    one that includes itself is an error.
+    """
+    order = W.partitionBy("file").orderBy("line_no")
+    listed = materialise(lines.select("file", F.row_number().over(order).alias("at"), "line"), "lines")
+    current = listed.filter(F.col("file") == root).select(F.array("at").alias("line_no"), "line")
+    for _ in range(depth):
+        name = F.regexp_extract("line", INCLUDE, 1)
+        wanted = current.filter(name != "").select(F.col("line_no").alias("_path"), name.alias("_file"))
+        if wanted.isEmpty():
+            return current.select(F.lit(root).alias("file"), "line_no", "line")
+        inner = listed.join(wanted, F.col("file") == F.col("_file")).select(
+            F.concat("_path", F.array("at")).alias("line_no"), "line"
+        )
+        current = materialise(current.filter(name == "").unionByName(inner), "included")
+    raise ValueError(f"{root} includes itself, or files more than {depth} deep")
 
 
 def time_lexicon(lines: DataFrame) -> DataFrame:

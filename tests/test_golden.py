@@ -1,5 +1,6 @@
 """Golden cases and edges of single operators."""
 
+import os
 import re
 
 import pytest
@@ -12,7 +13,11 @@ from notequarry.operators.dictionary import find_terms
 from notequarry.operators.parts import split_to_parts
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable
-from notequarry.sources import files, lexicon
+from notequarry.session import job, materialise
+from notequarry.sinks.results import annotation_documents
+from notequarry.sources import annotations, files, lexicon
+from notequarry.sources import dictionary as dictionary_sources
+from notequarry.streaming.incremental import incremental_extract
 
 
 def parts_of(spark, content, cap):
@@ -367,6 +372,89 @@ def test_excluded_tags_start_no_lookup(spark):
     assert (found(None), found(("VB",))) == ([1, 2], [1])
 
 
+def test_rule_files_include_each_other_in_place(spark, tmp_path):
+    rule = "RULE: {0}$|noun|singular|{0}s$|noun|plural"
+    (tmp_path / "top.rul").write_text(f"{rule.format('a')}\nFILE: mid.rul\n{rule.format('d')}\nEXCEPTION: d|ds;\nFILE: none.rul\n")
+    (tmp_path / "mid.rul").write_text(f"# comment\n{rule.format('b')}\nFILE: low.rul\n")
+    (tmp_path / "low.rul").write_text(f"{rule.format('c')}\nEXCEPTION: c|cs;\n")
+    (tmp_path / "loop.rul").write_text("FILE: loop.rul\n")
+    lines = lexicon.read_lines(spark, str(tmp_path))
+    rules = lexicon.rule_lines(lexicon.include_files(lines, "top.rul")).orderBy("rule_id").collect()
+    assert [(r.in_pattern, r.exceptions) for r in rules] == [("a$", []), ("b$", []), ("c$", ["c|cs"]), ("d$", ["d|ds"])]
+    with pytest.raises(ValueError, match="loop.rul"):
+        lexicon.include_files(lines, "loop.rul")
+
+
+def test_a_job_removes_what_it_derived(spark):
+    with job(spark):
+        kept = materialise(spark.range(5), "numbers")
+        path = kept.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+        assert kept.count() == 5 and os.path.isdir(path)
+    assert not os.path.exists(path)
+
+
+def test_read_lines_keeps_the_order_of_a_file(spark, tmp_path):
+    (tmp_path / "words.txt").write_text("".join(f"w{i}\n" for i in range(500)))
+    rows = lexicon.read_lines(spark, str(tmp_path / "words.txt")).orderBy("line_no").collect()
+    assert [r.line for r in rows] == [f"w{i}" for i in range(500)]
+    assert {r.file for r in rows} == {"words.txt"}
+
+
+def test_character_map(spark):
+    lines = spark.createDataFrame([("U+00E9|e|x",), ("U+1F642|:)|x",), ("# note",), ("U+00DF|ss|",)], "line string")
+    assert sorted(map(tuple, lexicon.character_map(lines).collect())) == [("\u00df", "ss"), ("\u00e9", "e"), ("\U0001f642", ":)")]
+
+
+def test_annotation_files(spark, tmp_path):
+    spans = spark.createDataFrame([("event", 3, 7, "drug", "C1", -1, 0), ("entity", 9, 12, "anatomy", "C2", 0, 1)], annotations.SPAN_SCHEMA)
+    documents = annotation_documents(spans.withColumn("id", F.lit(1)), ["id"])
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.xml").write_text(documents.first()["annotations"])
+    found = annotations.annotation_files(spark, str(tmp_path))
+    assert sorted(map(tuple, found.drop("path").collect())) == sorted(map(tuple, spans.collect()))
+    assert found.first()["path"].endswith("in/1.xml")
+
+
+def test_dictionary_and_concept_tables(spark):
+    raw = spark.createDataFrame([("12", "0", "2", "low back", "back")], "CUI string, RINDEX string, TCOUNT string, TEXT string, RWORD string")
+    assert tuple(dictionary_sources.dictionary_table(raw).first()) == (12, 0, 2, "low back", "back")
+    tui = spark.createDataFrame([(1, 7), (2, 8)], "cui bigint, tui int")
+    names = spark.createDataFrame([(1, "one"), (3, "three")], "cui bigint, pref_term string")
+    long_codes = spark.createDataFrame([(1, "0042")], "cui bigint, code string")
+    text_codes = spark.createDataFrame([(1, "DB0042"), (3, "DB7")], "cui bigint, code string")
+    found = dictionary_sources.concept_tables(tui, names, {"A": (long_codes, "long"), "B": (text_codes, "text")})
+    assert sorted((r.cui, r.scheme or "", r.code or "") for r in found.collect()) == [
+        (1, "A", "42"), (1, "B", "DB0042"), (2, "", ""), (3, "B", "DB7")
+    ]
+
+
+def test_parts_join_up_to_the_note_again(spark):
+    notes = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    parts = split_to_parts(notes, 500).select("doc_id", "part", "text")
+    joined = parts.groupBy("doc_id").agg(F.array_join(F.sort_array(F.collect_list(F.struct("part", "text")))["text"], "").alias("whole"))
+    plain = F.regexp_replace(F.regexp_replace("text", r"(?:\r?\n)+\z", ""), r"\r\n", "\n")
+    wrong = notes.filter(F.trim("text") != "").join(joined, "doc_id").filter(F.col("whole") != F.concat(plain, F.lit("\n")))
+    assert wrong.count() == 0
+
+
+def test_batches_of_one_minute_keep_each_other(spark, tmp_path):
+    table = LookupTable.fixed(spark, [(7, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(7, 100, "alpha", "drug", "RX", "9", "C0000007")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    notes, out = tmp_path / "notes", str(tmp_path / "out")
+    notes.mkdir()
+    for i, marks in enumerate(("one", "one", "two")):
+        (notes / f"{i}.txt").write_text(f"alpha {i}")
+        run = incremental_extract(spark, str(notes), out, str(tmp_path / marks), jobs.Settings(table, concepts), lambda batch: "202601010930")
+        run.awaitTermination()
+    found = sorted(r.text.strip() for r in spark.read.parquet(out).collect())
+    # the third run has a fresh checkpoint, so it reads all notes again beside the earlier rows
+    assert found == sorted(["alpha 0", "alpha 1", "alpha 0", "alpha 1", "alpha 2"])
+    assert {r.cuis for r in spark.read.parquet(out).collect()} == {"C0000007"}
+
+
 def test_missing_root_is_an_error(spark):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         files.whole_files(spark, "/tmp/no-such-folder-of-notes").count()
