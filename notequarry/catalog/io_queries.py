@@ -61,19 +61,20 @@ def name_list_semi(spark, sf):
     return files.name_list_semi(note_files(spark, sf), names)
 
 
-def written_files(spark, sf) -> str:
-    """The benchmark items as one small text file each."""
+def written_files(spark, sf, table: str = "documents") -> str:
+    """The texts of a table as one small text file each."""
     path = scratch_path(spark, "note-files")
-    X.table(spark, sf, "benchmark").select("text").write.option("maxRecordsPerFile", 1).text(path)
+    texts = X.table(spark, sf, table).select("text").repartition(8)
+    texts.write.option("maxRecordsPerFile", 1).text(path)
     return path
 
 
-@query("SELECT text || chr(10) AS text FROM benchmark")
+@query("SELECT text || chr(10) AS text, CAST(NULL AS VARCHAR) AS failure FROM documents")
 def whole_file_source(spark, sf):
-    return files.whole_texts(spark, written_files(spark, sf), "*.txt").select("text")
+    return files.whole_texts(spark, written_files(spark, sf), "*.txt").select("text", "failure")
 
 
-@query("SELECT count(*) AS n_files FROM benchmark")
+@query("SELECT count(*) AS n_files FROM documents")
 def single_or_dir_root(spark, sf):
     return files.file_count(files.whole_files(spark, written_files(spark, sf), "*.txt"))
 
@@ -217,7 +218,7 @@ def incremental_extract_job(spark, sf):
     """Note files read as a stream and extracted in batches."""
     out, marks = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     stream = incremental_extract(
-        spark, written_files(spark, sf), out, marks, settings(spark, sf), lambda batch: f"20260101{batch:04d}"
+        spark, written_files(spark, sf, "benchmark"), out, marks, settings(spark, sf), lambda batch: f"20260101{batch:04d}"
     )
     stream.awaitTermination()
     return spark.read.parquet(out).select("text", "parsed")
