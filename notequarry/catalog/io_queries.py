@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from notequarry.catalog import fixtures as X
-from notequarry.catalog.mention_queries import RESULT, count_spans, raw_parts, settings
+from notequarry.catalog.mention_queries import RESULT, listed_spans, raw_parts, settings
 from notequarry.catalog.registry import query
 from notequarry.functions.register import register_functions
 from notequarry.plans import jobs
@@ -203,14 +203,14 @@ RESULTS = "SELECT fname, part, parsed, text, annotations, cuis FROM results"
 def extract_to_table(spark, sf):
     path = scratch_path(spark, "extracted")
     jobs.extract_to_table(raw_parts(spark, sf), settings(spark, sf), path, "202601010930")
-    return count_spans(spark.read.schema(f"{sinks.RESULT_COLUMNS}, loaded STRING").parquet(path))
+    return listed_spans(spark.read.schema(f"{sinks.RESULT_COLUMNS}, loaded STRING").parquet(path))
 
 
 @query(RESULTS, RESULT)
 def extract_to_files(spark, sf):
     path = scratch_path(spark, "extracted-files")
     jobs.extract_to_files(raw_parts(spark, sf), settings(spark, sf), path)
-    return count_spans(sinks.read_delimited(spark, path, sinks.RESULT_COLUMNS))
+    return listed_spans(sinks.read_delimited(spark, path, sinks.RESULT_COLUMNS))
 
 
 @query("SELECT text || chr(10) AS text, true AS parsed FROM benchmark")

@@ -10,6 +10,7 @@ from notequarry.catalog.text_queries import ENVELOPE_KEY, FAILURE, SHOWN, raw_ke
 from notequarry.operators import consume, context, dictionary, spans, structure
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable
+from notequarry.sources.annotations import DOCUMENT_SCHEMA
 
 MENTION = "doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i cui"
 FULL = MENTION + " tui:i pref_term sem_group scheme code concept_cui concept mention_class"
@@ -259,28 +260,35 @@ def raw_parts(spark, sf):
 
 RESULT = {
     "event_strings": EVENT_STRING,
-    "span_counts": """SELECT doc_id, part, count(DISTINCT ("begin", "end", concept, sem_group)) AS n
-        FROM mentions GROUP BY doc_id, part""",
+    "span_lists": """SELECT doc_id, part, string_agg(concat_ws(',', mention_class, "begin", "end", sem_group, concept,
+            polarity, uncertainty), ';' ORDER BY "begin", "end" DESC, concept, sem_group) AS listed
+        FROM (SELECT DISTINCT doc_id, part, mention_class, "begin", "end", coalesce(sem_group, '') AS sem_group,
+              coalesce(concept, '') AS concept, polarity, uncertainty FROM mentions) GROUP BY doc_id, part""",
     "keyed": f"SELECT p.doc_id, p.part, p.text, lang, {FAILURE} AS f FROM parts p JOIN documents d USING (doc_id)".replace(
         "CASE WHEN doc_id", "CASE WHEN p.doc_id"
     ),
     "results": f"""SELECT {ENVELOPE_KEY} ELSE CAST(part AS VARCHAR) END AS part,
         f IS NULL AS parsed, CASE WHEN f IS NULL THEN text END AS text,
-        coalesce(f, CAST(coalesce(n, 0) AS VARCHAR)) AS annotations,
+        coalesce(f, listed, '') AS annotations,
         CASE WHEN f IS NULL THEN coalesce(cuis, '') END AS cuis
-        FROM keyed LEFT JOIN event_strings USING (doc_id, part) LEFT JOIN span_counts USING (doc_id, part)""",
+        FROM keyed LEFT JOIN event_strings USING (doc_id, part) LEFT JOIN span_lists USING (doc_id, part)""",
 }
 
 
-def count_spans(results):
-    """Results with the annotation document replaced by its number of spans."""
-    counted = (F.size(F.split("annotations", "<span>")) - 1).cast("string")
-    return results.withColumn("annotations", F.when(F.col("parsed"), counted).otherwise(F.col("annotations")))
+def listed_spans(results):
+    """Results with the annotation document, read back, as one line of its spans."""
+    spans = F.from_xml(F.col("annotations"), DOCUMENT_SCHEMA)["span"]
+    fields = ("kind", "begin", "end", "label", "concept", "polarity", "uncertainty")
+    line = F.transform(
+        spans, lambda s: F.concat_ws(",", *(F.coalesce(s[f].cast("string"), F.lit("")) for f in fields))
+    )
+    listed = F.coalesce(F.array_join(line, ";"), F.lit(""))
+    return results.withColumn("annotations", F.when(F.col("parsed"), listed).otherwise(F.col("annotations")))
 
 
 @query("SELECT fname, part, parsed, text, annotations, cuis FROM results", RESULT)
 def extract(spark, sf):
-    return count_spans(jobs.extract(raw_parts(spark, sf), settings(spark, sf)))
+    return listed_spans(jobs.extract(raw_parts(spark, sf), settings(spark, sf)))
 
 
 @query("SELECT 'hdfs://nn/notes/' || lang || '/' || doc_id || '.txt-' || part AS key, p.text AS value "

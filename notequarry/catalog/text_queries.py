@@ -307,17 +307,18 @@ def tokenize(spark, sf):
 
 
 @query(
-    r"""SELECT kind, text, count(*) AS n FROM (SELECT text, CASE
+    r"""SELECT doc_id, part, CAST(sent_id AS INTEGER) AS sent_id, CAST("begin" AS INTEGER) AS "begin",
+        CAST("end" AS INTEGER) AS "end", kind FROM (SELECT *, CASE
         WHEN regexp_full_match(text, '[0-9]{1,2}/[0-9]{1,2}/[0-9]{2,4}') THEN 'date'
         WHEN regexp_full_match(text, '[0-9]{1,2}:[0-9]{2}') THEN 'time'
         WHEN regexp_full_match(text, '[0-9]+/[0-9]+') THEN 'fraction'
         WHEN regexp_full_match(text, '[0-9]+-[0-9]+') THEN 'range'
         WHEN regexp_full_match(text, '[0-9]+(?:[.,][0-9]+)+') THEN 'measurement' END AS kind FROM tokens)
-        WHERE kind IS NOT NULL GROUP BY ALL"""
+        WHERE kind IS NOT NULL"""
 )
 def merge_context_tokens(spark, sf):
-    kinds = X.tokens(spark, sf).select(structure.merged_token_kind(F.col("text")).alias("kind"), "text")
-    return kinds.filter(F.col("kind").isNotNull()).groupBy("kind", "text").agg(F.count(F.lit(1)).alias("n"))
+    kinds = X.tokens(spark, sf).withColumn("kind", structure.merged_token_kind(F.col("text")))
+    return kinds.filter(F.col("kind").isNotNull()).select("doc_id", "part", "sent_id", "begin", "end", "kind")
 
 
 @query(pick(TOK + " pos", "tagged"))
