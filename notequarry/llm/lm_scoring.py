@@ -3,10 +3,10 @@
 The model is a byte-context trie of order five, trained on the training documents. A node
 is a context of up to five bytes; it knows how often it was met, by which bytes it was
 followed, and how often its shorter context was followed by those same bytes. A byte that
-never followed a context escapes to the next shorter one (method D: half a count for each
-byte that was seen goes to the escape). The shorter context then leaves out the bytes the
-longer one would have predicted (symbol exclusion). Every byte seen after a context was
-also seen after its suffixes, so what is excluded is a single sum for each node.
+never followed a context escapes to the next shorter one (as in method D, each byte that
+was seen gives a fixed part of a count to the escape). The shorter context then leaves out
+the bytes the longer one would have predicted (symbol exclusion). Every byte seen after a
+context was also seen after its suffixes, so what is excluded is a single sum for each node.
 
 Counts and scores travel in blocks. A block of some 32 MB of text is reduced to its distinct
 six-byte strings (context and next byte) and words, once each; those are dealt out by hash,
@@ -34,11 +34,13 @@ ORDER = 5
 PAD = b"\n" * ORDER
 BLOCK_BYTES = 32_000_000
 SEGMENT_BYTES = 4_000_000
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 1_000_000
 #: Key of the end of a text among the words; no word hashes to it but by chance.
 END = np.uint64(0x0123456789ABCDEF)
 GRAM, WORD = 0, 1
 HELD_OUT = 10
+#: Part of a count that each byte seen after a context gives to the escape from it.
+ESCAPE = 0.25
 
 PACKED = "block string, kind int, shard int, keys binary, values binary"
 CHUNKS = "block string, ids array<{id}>, held array<boolean>, sizes array<long>, texts binary"
@@ -192,7 +194,7 @@ def _blocks(shards: int, id_kind: pa.DataType):
                     for kind, found in ((GRAM, [_counted(stream.grams()[0])]), (WORD, [_counted(stream.words()[0]), ends])):
                         counts[kind] += [(k, c * n) for k, c in found]
                 for kind in counts:
-                    if len(counts[kind]) > 12:
+                    if len(counts[kind]) > 8:
                         counts[kind] = [_summed(counts[kind])]
                 yield batch([[block, None, None, None, None, ids[a:b], out, [*map(len, part)], zstandard.compress(b"".join(part), 1)]])
                 size += sum(map(len, part))
@@ -252,7 +254,7 @@ def gram_scores(grams: DataFrame) -> DataFrame:
     # seen in training: answered by the longest context at once
     top = contexts.filter(F.col("order") == ORDER).select("context", "total")
     seen = grams.filter("n > 0").withColumn("context", F.shiftright("key", 8)).join(top, "context")
-    seen = seen.select("shard", "key", F.log10((F.col("n") - 0.5) / F.col("total")).alias("score"))
+    seen = seen.select("shard", "key", F.log10((F.col("n") - ESCAPE) / F.col("total")).alias("score"))
     # not seen: one row for each order, then a walk from the longest context to the shortest
     asked = grams.filter("n = 0").select("shard", "key", F.explode(F.sequence(F.lit(0), F.lit(ORDER))).alias("order"))
     asked = asked.withColumn("gram", F.expr("key & (shiftleft(1L, 8 * (`order` + 1)) - 1)"))
@@ -273,10 +275,10 @@ def _walk(steps: Column) -> Column:
         total, kinds = x["total"] - state["out"], x["kinds"] - state["out_kinds"]
         known = ~state["done"] & x["total"].isNotNull()
         hit = known & x["n"].isNotNull()
-        escape = F.when(total > 0, F.log10(0.5 * kinds / total)).otherwise(number(0))
+        escape = F.when(total > 0, F.log10(ESCAPE * kinds / total)).otherwise(number(0))
         last = F.log10(1.0 / F.greatest(number(1), 256.0 - x["kinds"]))
         missed = state["score"] + escape + F.when(x["o"] == 0, last).otherwise(number(0))
-        score = F.when(hit, state["score"] + F.log10((x["n"] - 0.5) / total)).when(known, missed).otherwise(state["score"])
+        score = F.when(hit, state["score"] + F.log10((x["n"] - ESCAPE) / total)).when(known, missed).otherwise(state["score"])
         return F.struct(
             score.alias("score"),
             F.when(known, x["excluded"].cast("double")).otherwise(state["out"]).alias("out"),
