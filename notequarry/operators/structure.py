@@ -217,40 +217,47 @@ def tag_letter(pos: Column) -> Column:
     )
 
 
+def run_ends(runs: Column) -> Column:
+    """Runs with the place after each, (run, end), in one pass over the array."""
+    nothing = F.struct(F.lit(0).alias("total"), F.array().cast("array<struct<run:string,end:int>>").alias("all"))
+
+    def step(acc: Column, run: Column) -> Column:
+        end = acc["total"] + F.length(run)
+        entry = F.struct(run.alias("run"), end.alias("end"))
+        return F.struct(end.alias("total"), F.array_append(acc["all"], entry).alias("all"))
+
+    return F.aggregate(runs, nothing, step)["all"]
+
+
 def chunk(tagged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     """Noun, verb and preposition chunks (others O) over the tags of a sentence."""
     entry = F.struct("tok_idx", "begin", "end", tag_letter(F.col("pos")).alias("letter"))
     by_sentence = tagged.groupBy(*keys, "sent_id").agg(F.array_sort(F.collect_list(entry)).alias("_toks"))
-    letters = F.array_join(F.col("_toks.letter"), "")
-    found = by_sentence.select(*keys, "sent_id", "_toks", _matches(letters, CHUNK).alias("_all"))
-    rows = found.select(
-        *keys, "sent_id", "_toks", "_all", F.posexplode_outer("_all").alias("chunk_idx", "_one")
-    )
-    placed = rows.filter(F.col("_one").isNotNull()).select(
-        *keys,
-        "sent_id",
-        "_toks",
-        "chunk_idx",
-        "_one",
-        (_joined_length(F.col("_all"), F.col("chunk_idx") + 1) - 1).alias("tok_end"),
-    )
-    tok_start = F.col("tok_end") - F.length("_one") + 1
-    kind = (
-        F.when(F.contains(F.col("_one"), F.lit("N")), F.lit("NP"))
-        .when(F.contains(F.col("_one"), F.lit("V")), F.lit("VP"))
-        .when(F.col("_one") == "I", F.lit("PP"))
-        .otherwise(F.lit("O"))
-    )
-    return placed.select(
-        *keys,
-        "sent_id",
-        "chunk_idx",
-        tok_start.alias("tok_start"),
-        "tok_end",
-        F.element_at(F.col("_toks.begin"), tok_start + 1).alias("begin"),
-        F.element_at(F.col("_toks.end"), F.col("tok_end") + 1).alias("end"),
-        kind.alias("chunk_type"),
-    )
+    runs = _matches(F.array_join(F.col("_toks.letter"), ""), CHUNK)
+    found = by_sentence.select(*keys, "sent_id", "_toks", run_ends(runs).alias("_runs"))
+
+    def kind(run: Column) -> Column:
+        return (
+            F.when(F.contains(run, F.lit("N")), F.lit("NP"))
+            .when(F.contains(run, F.lit("V")), F.lit("VP"))
+            .when(run == "I", F.lit("PP"))
+            .otherwise(F.lit("O"))
+        )
+
+    def span(x: Column, i: Column) -> Column:
+        start, end = x["end"] - F.length(x["run"]), x["end"] - 1
+        return F.struct(
+            i.alias("chunk_idx"),
+            start.alias("tok_start"),
+            end.alias("tok_end"),
+            F.get(F.col("_toks.begin"), start).alias("begin"),
+            F.get(F.col("_toks.end"), end).alias("end"),
+            kind(x["run"]).alias("chunk_type"),
+        )
+
+    # spans are made inside the sentence, so its tokens do not ride on every chunk
+    spans = found.select(*keys, "sent_id", F.transform("_runs", span).alias("_spans"))
+    return spans.select(*keys, "sent_id", F.inline_outer("_spans")).filter(F.col("chunk_idx").isNotNull())
 
 
 def chunk_extend(chunks: DataFrame, pattern: Sequence[str], keys: Sequence[str] = KEYS) -> DataFrame:
