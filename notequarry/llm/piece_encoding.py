@@ -22,7 +22,10 @@ from notequarry.llm.common import columns, text_bytes
 SPACE = "\u2581"
 GROUP = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 NONE = np.int64(2**62)
-#: Words whose ids a worker remembers; beyond it starts anew, so its memory is bounded.
+#: Letters with signs after them; many words differ by the signs alone.
+TRAILED = re.compile(r"([^\W\d_]+)([.,!?;:*#$%&|)(\"]+)")
+#: Words whose ids a worker remembers, and half the parts; beyond it starts anew, so its
+#: memory is bounded.
 REMEMBERED = 250_000
 
 
@@ -70,6 +73,7 @@ class PieceModel:
         self.rank, self.joined = found[:, 0], found[:, 1]
         #: neighbouring characters that no piece holds side by side can be cut apart
         self.join = np.array(sorted((a << 32) | b for a, b in joins), np.int64)
+        self.joins = joins
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and joined symbol of each pair; NONE where the vocabulary has no such piece."""
@@ -78,10 +82,10 @@ class PieceModel:
         hit = self.pair[at] == key
         return np.where(hit, self.rank[at], NONE), self.joined[at]
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of each word, all merged together round by round."""
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words, merged together round by round, and where each word's begin and end."""
         if not words:
-            return []
+            return np.zeros(0, np.int64), np.zeros(1, np.int64)
         points = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32).astype(np.int64)
         lengths = np.fromiter(map(len, words), np.int64, len(words))
         owner = np.repeat(np.arange(len(words)), lengths)
@@ -98,11 +102,9 @@ class PieceModel:
 
     def _merge_rounds(self, symbols, run, owner):
         done_s, done_r, done_o = [], [], []
+        rank, joined = self._pairs(symbols, run, np.arange(len(symbols)))
         while len(symbols):
-            inside = run[1:] == run[:-1]
-            rank, joined = self._ranks(symbols[:-1], symbols[1:])
-            rank = np.append(np.where(inside, rank, NONE), NONE)
-            heads = np.flatnonzero(np.concatenate([[True], ~inside]))
+            heads = np.flatnonzero(np.concatenate([[True], run[1:] != run[:-1]]))
             sizes = np.diff(np.append(heads, len(symbols)))
             best = np.minimum.reduceat(rank, heads)
             live = np.repeat(best < NONE, sizes)
@@ -110,7 +112,7 @@ class PieceModel:
                 done_s.append(symbols[~live])
                 done_r.append(run[~live])
                 done_o.append(owner[~live])
-                symbols, run, owner = symbols[live], run[live], owner[live]
+                symbols, run, owner, rank, joined = (x[live] for x in (symbols, run, owner, rank, joined))
                 continue
             wanted = np.flatnonzero(rank == np.repeat(best, sizes))
             wanted = self._certain(symbols, run, rank, joined, wanted)
@@ -118,11 +120,23 @@ class PieceModel:
             symbols[wanted] = joined[wanted]
             keep = np.ones(len(symbols), bool)
             keep[wanted + 1] = False
-            symbols, run, owner = symbols[keep], run[keep], owner[keep]
+            now = (np.cumsum(keep) - 1)[wanted]
+            symbols, run, owner, rank, joined = (x[keep] for x in (symbols, run, owner, rank, joined))
+            # only the pairs of a merged symbol and its neighbours have changed
+            changed = np.concatenate([now, np.maximum(now - 1, 0)])
+            rank[changed], joined[changed] = self._pairs(symbols, run, changed)
         symbols, run, owner = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (done_s, done_r, done_o))
         order = np.argsort(run, kind="stable")
         return symbols[order], run[order], owner[order]
 
+    def _pairs(self, symbols, run, at):
+        """Rank and joined symbol of the pairs that begin at ``at``; NONE across the end of a run."""
+        after = np.minimum(at + 1, len(symbols) - 1)
+        inside = (run[at] == run[after]) & (after > at)
+        rank, joined = np.full(len(at), NONE), np.zeros(len(at), np.int64)
+        rank[inside], joined[inside] = self._ranks(symbols[at[inside]], symbols[after[inside]])
+        return rank, joined
+
     def _certain(self, symbols, run, rank, joined, wanted):
         """Those of the best pairs that can be merged at once, from the left of each run.
 
@@ -153,18 +167,17 @@ class PieceModel:
         return wanted[count == base]
 
     def _ids(self, symbols, owner, n, distinct):
+        """Symbols as ids; a character that is no piece is spelled out in the ids of its bytes."""
         plain = symbols < self.size
-        if plain.all():
-            return np.split(symbols, np.searchsorted(owner, np.arange(1, n)))
-        spelled = {i: self.byte_ids[list(bytes_of(point))] for i, point in self._spelled(symbols[~plain], distinct)}
-        out, cuts = [], np.searchsorted(owner, np.arange(n + 1))
-        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            part = symbols[a:b]
-            if plain[a:b].all():
-                out.append(part)
-            else:
-                out.append(np.concatenate([spelled[s] if s in spelled else [s] for s in part.tolist()]).astype(np.int64))
-        return out
+        size = np.ones(len(symbols), np.int64)
+        others, where = np.unique(symbols[~plain], return_inverse=True)
+        spelled = [self.byte_ids[list(bytes_of(point))] for _, point in self._spelled(others, distinct)]
+        if len(others):
+            size[~plain] = np.array([len(x) for x in spelled])[where]
+        ids = np.repeat(symbols, size)
+        if len(others):
+            ids[np.repeat(~plain, size)] = np.concatenate([spelled[i] for i in where.tolist()])
+        return ids, np.searchsorted(np.repeat(owner, size), np.arange(n + 1))
 
     def _spelled(self, symbols, distinct):
         inner = {i: point for point, i in self.chars.items() if i >= self.size}
@@ -191,7 +204,9 @@ class Encoder:
     """Encodes texts word by word and remembers a bounded number of words."""
 
     def __init__(self, model: PieceModel):
-        self.model, self.known = model, {}
+        self.model = model
+        self.known: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {"": b""}
 
     def groups(self, text: str) -> list[str]:
         """The words of a text, each with the spaces before it; pieces never cross their seams."""
@@ -203,19 +218,40 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text with the end id; an empty text has the end id alone."""
         split = [self.groups(t) if t else [] for t in texts]
-        fresh = list({w for words in split for w in words if w not in self.known})
+        fresh = set().union(*split).difference(self.known)
         if len(self.known) + len(fresh) > REMEMBERED:
             self.known = {}
-            fresh = list({w for words in split for w in words})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for word, ids in zip(part, self.model.encode_words([SPACE + w for w in part]), strict=True):
-                self.known[word] = ids.astype(np.int32).tobytes()
+            fresh = set().union(*split)
+        halves = {word: self._halves(word) for word in fresh}
+        self._learn({x for both in halves.values() for x in both})
+        parts = self.parts
+        for word, (one, two) in halves.items():
+            self.known[word] = parts[one] + parts[two]
         end = np.int32(self.model.end_id).tobytes()
         known = self.known
         return [np.frombuffer(b"".join([known[w] for w in words]) + end, np.int32) for words in split]
 
 
+    def _halves(self, word: str) -> tuple[str, str]:
+        """A word with its space mark, and the signs at its end where no piece spans the seam."""
+        found = TRAILED.fullmatch(word)
+        if found and (ord(found[1][-1]), ord(found[2][0])) not in self.model.joins:
+            return SPACE + found[1], found[2]
+        return SPACE + word, ""
+
+    def _learn(self, wanted: set[str]) -> None:
+        new = [x for x in wanted if x not in self.parts]
+        if len(self.parts) + len(new) > 2 * REMEMBERED:
+            self.parts = {"": b""}
+            new = [x for x in wanted if x]
+        for at in range(0, len(new), 20_000):
+            part = new[at : at + 20_000]
+            ids, cuts = self.model.encode_words(part)
+            raw, cuts = ids.astype(np.int32).tobytes(), (4 * cuts).tolist()
+            for word, a, b in zip(part, cuts[:-1], cuts[1:], strict=True):
+                self.parts[word] = raw[a:b]
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
