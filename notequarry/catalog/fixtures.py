@@ -48,9 +48,18 @@ def notes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", path.alias("path"), "text")
 
 
+def dealt_out(notes: DataFrame) -> DataFrame:
+    """Notes dealt out by id, once: sentences, chunks and windows are all grouped within a note.
+
+    The same at every size; four parts or more for each core even out notes of unlike length.
+    """
+    spark = notes.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return notes.repartition(max(parts, 4 * spark.sparkContext.defaultParallelism), "doc_id")
+
+
 def note_parts(spark: SparkSession, sf_dir: str, cap: int = PART_CAP) -> DataFrame:
-    # dealt out by note once: sentences, chunks and windows are all grouped within a note
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id")
+    docs = dealt_out(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return split_to_parts(docs, cap).select("doc_id", "part", "text")
 
 

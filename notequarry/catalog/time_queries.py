@@ -246,7 +246,7 @@ def event_notes(spark, sf):
         F.lit(" , then "), "event_type", F.lit("s every week.\nThe "), "event_type", F.lit(" has no phrase."),
     )
     notes = events(spark, sf).select(number().alias("doc_id"), F.lit(1).alias("part"), body.alias("text"), ts.alias("anchor"))
-    return notes.repartition("doc_id")
+    return X.dealt_out(notes)
 
 
 _AMOUNT = f"{sql_at(NUMBERS[:9], 'event_id')} || ' ' || {sql_at(PLURAL[:9], 'event_id // 7')}"

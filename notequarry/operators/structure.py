@@ -250,8 +250,8 @@ def chunk(tagged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
             i.alias("chunk_idx"),
             start.alias("tok_start"),
             end.alias("tok_end"),
-            F.get(F.col("_toks.begin"), start).alias("begin"),
-            F.get(F.col("_toks.end"), end).alias("end"),
+            F.get(F.col("_toks"), start)["begin"].alias("begin"),
+            F.get(F.col("_toks"), end)["end"].alias("end"),
             kind(x["run"]).alias("chunk_type"),
         )
 
