@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from notequarry.catalog import fixtures as X
 from notequarry.catalog.registry import pick, query
-from notequarry.catalog.sql import literal, listed
+from notequarry.catalog.sql import literal, listed, statement
 from notequarry.functions import times
 from notequarry.operators import consume, structure, temporal
 from notequarry.plans import jobs
@@ -367,9 +367,13 @@ RUN_PHRASES = {
 }
 
 
-@query(
+#: Compares pairs of phrases, which is too slow beyond the smallest tables: a test runs it there.
+RUN_SQL = statement(
     pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i phrase relation", "found_phrases"), RUN_PHRASES
 )
+
+
+@query()
 def lexicon_phrases_of_notes(spark, sf):
     runs = X.prepared(spark, sf, "terms").frame.filter("tcount > 1")
     rows = runs.select(F.col("term").alias("phrase"), at(RUN_RELATIONS, F.col("item_id")).alias("relation"))
