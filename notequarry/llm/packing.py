@@ -4,8 +4,10 @@ Documents become pieces of at most one sequence. Partitions pack their own piece
 first, each into the fullest bin with room. Bins that are nearly full leave at once; the
 others go up a tree as items of their own: at every level the underfull bins of several
 partitions meet and are packed into each other in the same way, and what counts as nearly
-full is relaxed. A bin carries its pieces along, so no join is needed and nothing but
-bounded bins moves. The root sees only what all levels left underfull.
+full is relaxed. A bin whose room is less than the smallest bin still open leaves too. A bin
+carries its pieces along, so no join is needed and nothing but bounded bins moves. The tree
+narrows only as far as a task's share of pieces stays bounded: where many bins are left that
+fit no other, it ends at several nodes.
 """
 
 from __future__ import annotations
@@ -26,9 +28,12 @@ from notequarry.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
-#: Pieces that one partition packs in the first round, and partitions that meet in the next.
+#: Pieces that one partition packs in the first round, and partitions that meet in the next;
+#: later rounds deal out at most the product of both to a partition.
 NODE_PIECES = 20_000
 BRANCHES = 8
+#: A tree that can hardly narrow ends when a round merges less than this share of its bins.
+LEAST_GAIN = 0.02
 #: Share of the capacity from which a bin leaves, in the first, second and later rounds.
 NEARLY_FULL = (0.99, 0.95, 0.85)
 #: Words a tokenizer remembers, and half the word parts; beyond them it starts anew.
@@ -196,20 +201,25 @@ def pack_pieces(cut: DataFrame, capacity: int = CAPACITY, node_pieces: int = NOD
     open_bins = start.repartition(nodes)
     # lists without a nullable marker keep one schema through all rounds
     schema = T.StructType([T.StructField("fill", T.LongType()), T.StructField("items", start.schema["items"].dataType)])
-    full, level = None, 0
+    full, level, before = None, 0, None
     while True:
-        packed = materialise(open_bins.mapInArrow(_pack(capacity), schema).withColumn("node", F.spark_partition_id()), "bins")
-        if nodes == 1:
-            done = packed
-        else:
+        packed = materialise(open_bins.mapInArrow(_pack(capacity), schema), "bins")
+        limit = 0
+        if nodes > 1:
             limit = int(NEARLY_FULL[min(level, len(NEARLY_FULL) - 1)] * capacity)
-            done = packed.filter(F.col("fill") >= limit)
+            count, least = packed.agg(F.count("*"), F.min("fill")).first()
+            limit = min(limit, capacity - least + 1)
+            n_open, n_pieces = packed.filter(F.col("fill") < limit).agg(F.count("*"), F.sum(F.size("items"))).first()
+            fewer = max(-(-nodes // BRANCHES), -(-(n_pieces or 0) // (BRANCHES * node_pieces)))
+            stuck = before is not None and before - count < LEAST_GAIN * before and 2 * fewer > nodes
+            if not n_open or stuck:
+                limit = 0
+        done = packed.filter(F.col("fill") >= limit)
         full = done if full is None else full.union(done)
-        if nodes == 1:
+        if not limit:
             break
-        nodes, level = -(-nodes // BRANCHES), level + 1
-        rest = packed.filter(F.col("fill") < limit)
-        open_bins = rest.repartition(nodes, F.expr(f"node div {BRANCHES}")).select("fill", "items")
+        open_bins = packed.filter(F.col("fill") < limit).repartition(fewer)
+        nodes, level, before = fewer, level + 1, n_open
     numbered = full.select(F.monotonically_increasing_id().alias("sequence_id"), "items")
     placed = _offsets(numbered)
     return placed.select(*(F.col("item")[c].alias(c) for c in cut.columns), "sequence_id", "offset")

@@ -93,6 +93,27 @@ def test_packing_is_gapless(spark, node):
     assert got.sequence_id.nunique() <= got.length.sum() / 512 * (1.1 if node > 5 else 1.3) + 2
 
 
+@pytest.mark.parametrize("low, high", [(2500, 2500), (1500, 3400)])
+def test_no_task_of_packing_sees_all_bins_that_fit_no_other(spark, monkeypatch, low, high):
+    rand, shares, keep = random.Random(7), [], packing.materialise
+    sizes = [rand.randint(low, high) if i % 3 == 0 or low < high else rand.randrange(1, 400) for i in range(3000)]
+
+    def watched(df, name):
+        if name == "bins":
+            by_task = df.withColumn("task", F.spark_partition_id()).groupBy("task").agg(F.sum(F.size("items")).alias("n"))
+            shares.extend(r.n for r in by_task.collect())
+        return keep(df, name)
+
+    monkeypatch.setattr(packing, "materialise", watched)
+    cut = spark.createDataFrame(list(enumerate(sizes)), "doc_id long, length long")
+    got = packing.pack_pieces(cut, 4096, 20).toPandas().sort_values(["sequence_id", "offset"])
+    assert sorted(got.doc_id) == list(range(3000))
+    by = got.groupby("sequence_id").length
+    assert (by.cumsum() - got.length == got.offset).all() and by.sum().max() <= 4096
+    assert max(shares) <= 1.5 * 20 * packing.BRANCHES
+    assert got.sequence_id.nunique() <= len(packing.best_fit(sizes, 4096)) * 1.08
+
+
 def test_packing_nothing(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string"), WORDS).count() == 0
 
