@@ -27,12 +27,15 @@ from notequarry.session import materialise
 #: After so many draws a surrogate is a labelled code, of which there are always enough.
 DRAWS = 12
 
-EMAIL = re.compile(r"[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}\b")
+#: Characters end an entity, not its length: what is left of a longer one would stay in clear.
+EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[._%+-]*+([A-Za-z0-9][A-Za-z0-9._%+-]*+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})\b")
+#: The key may be quoted, as in JSON; a value in quotes goes to the closing one.
 SECRET = re.compile(
     r"(?i)\b(?:password|passwd|pwd|pass|token|secret|api[_-]?key|access[_-]?key|private[_-]?key|auth[_-]?key)"
-    r"(\s{0,3}[=:]\s{0,3})([\"']?)([^\s\"',;<>]{6,200})"
+    r"([\"']?)(\s*[=:]\s*)"
+    r"(?:\"(?P<double>(?:[^\"\\\r\n]++|\\.)*+)\"|'(?P<single>(?:[^'\\\r\n]++|\\.)*+)'|[\"']?(?P<bare>[^\s\"',;<>]{6,}))"
 )
-PREFIXED = re.compile(r"\b(AKIA|ASIA|ghp_|gho_|sk-|sk_live_|pk_live_|xox[abp]-|AIza)([A-Za-z0-9_-]{12,120})")
+PREFIXED = re.compile(r"\b(AKIA|ASIA|ghp_|gho_|sk-|sk_live_|pk_live_|xox[abp]-|AIza)([A-Za-z0-9_-]{12,})")
 IBAN = re.compile(r"\b([A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)\b")
 IP = re.compile(r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")
 CARD = re.compile(r"(?<![\w.-])[2-6]\d{3}(?:\d{9,15}|(?:[ -]\d{4}){2,3}(?:[ -]?\d{1,4})?|[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d)")
@@ -49,11 +52,11 @@ ADDRESS = {
 }
 _TITLES = {t: gender for gender, titles in ADDRESS.items() for t in titles}
 _UPPER = "A-ZÀ-ÖØ-ÞА-ЯЁ"
-_NAME = rf"[{_UPPER}][^\W\d_]+(?:[-'][{_UPPER}][^\W\d_]+)?"
+_NAME = rf"[{_UPPER}][^\W\d_]+(?:[-'][{_UPPER}][^\W\d_]+)*"
 TITLED = re.compile(
-    rf"(?<!\w)({'|'.join(sorted(map(re.escape, _TITLES), key=len, reverse=True))}) ({_NAME}(?: {_NAME}){{0,2}})(?!\w)"
+    rf"(?<!\w)({'|'.join(sorted(map(re.escape, _TITLES), key=len, reverse=True))}) ({_NAME}(?: {_NAME})*)(?!\w)"
 )
-NAMED = re.compile(rf"(?:[Mm]y name is|[Ii]ch heiße|[Mm]e llamo|[Jj]e m'appelle|[Mm]eine? Name ist) ({_NAME}(?: {_NAME}){{0,2}})(?!\w)")
+NAMED = re.compile(rf"(?:[Mm]y name is|[Ii]ch heiße|[Mm]e llamo|[Jj]e m'appelle|[Mm]eine? Name ist) ({_NAME}(?: {_NAME})*)(?!\w)")
 
 #: Given names for surrogates by gender and script, our own choice.
 GIVEN = {
@@ -85,11 +88,12 @@ def detect(text: str) -> list[Found]:
     """Entities of a text in order, none overlapping; earlier kinds win over later ones."""
     found: list[Found] = []
     if "@" in text:
-        found += [(m.start(), m.end(), "email", m[0].lower()) for m in EMAIL.finditer(text)]
+        found += [(m.start(1), m.end(1), "email", m[1].lower()) for m in EMAIL.finditer(text)]
     if "=" in text or ":" in text:
         for m in SECRET.finditer(text):
-            if any(c.isdigit() for c in m[3]) or m[1].strip() == "=":
-                found.append((m.start(3), m.end(3), "secret", m[3]))
+            value = m[m.lastgroup]
+            if len(value) >= 6 and (any(c.isdigit() for c in value) or m[2].strip() == "=" or m[1] and m.lastgroup != "bare"):
+                found.append((*m.span(m.lastgroup), "secret", value))
     if re.search("[0-9]", text):
         found += [(m.start(2), m.end(2), "secret", m[2]) for m in PREFIXED.finditer(text)]
         for m in IBAN.finditer(text):

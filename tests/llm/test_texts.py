@@ -195,6 +195,25 @@ def test_detection():
     assert kinds[4:] == [[], [], [], []]
 
 
+LONG = [
+    'token = "' + "a1B2" * 250 + '"', "password=" + "x9" * 500 + " end", "key sk-proj-" + "Ab3_" * 250 + " end",
+    '{"password": "correct horse, battery", "user": "u"}', "{'api_key': 'abcdef\\'ghi'}", "x" * 300 + ".y@" + "d1." * 12 + "example.org",
+    "Herr Juan Carlos Garcia Lopez Marquez kam, dann sagte Marquez nichts.", "My name is Anna Maria Clara Luise Berger-Holm-Stein.",
+]
+
+
+def test_no_rest_of_a_long_entity_stays(spark):
+    docs = spark.createDataFrame(list(enumerate(LONG)), "doc_id long, text string")
+    found = {r.doc_id: r for r in pii.replace_pii(docs, "k").collect()}
+    assert [found[i].n_replaced for i in range(8)] == [1, 1, 1, 1, 1, 1, 6, 5]
+    spans = [[t[a:b] for a, b, *_ in pii.detect(t)] for t in LONG]
+    assert spans[0] == ["a1B2" * 250] and spans[1] == ["x9" * 500] and spans[2] == ["proj-" + "Ab3_" * 250]
+    assert spans[3:6] == [["correct horse, battery"], ["abcdef\\'ghi"], [LONG[5]]]
+    assert found[0].text.startswith('token = "') and len(found[0].text) == len(LONG[0])
+    for i, gone in ((0, "a1B2a1B2"), (1, "x9x9x9x9"), (2, "Ab3_Ab3_"), (3, "horse"), (5, "xxxxxx"), (6, "Marquez"), (7, "Stein")):
+        assert gone not in found[i].text
+
+
 def test_surrogates_keep_kind_form_and_coreference(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "x")], "doc_id long, text string, kind string")
     got = pii.replace_pii(docs, "k")
