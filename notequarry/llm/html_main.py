@@ -41,7 +41,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_NAMED = re.compile(r"(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
@@ -55,6 +55,8 @@ _CLOSERS = frozenset(
 )
 _MAIN = frozenset(("article", "main"))
 _REST = frozenset("nav footer aside form button menu dialog head select fieldset".split())
+#: Tags that also wrap whole pages; like names they say little of a container of the main text.
+_WRAPPERS = frozenset(("form", "fieldset"))
 _REST_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice "
     "notices alert popup modal overlay newsletter subscribe subscription signup login register sidebar side rail widget widgets menu "
@@ -73,8 +75,8 @@ class Block:
     path: tuple[int, ...]
     tag: str
     linked: int
-    main: bool
-    rest: bool
+    main: bool = False
+    rest: bool = False
     named_main: bool = False
 
 
@@ -85,11 +87,14 @@ class Open:
     rest: bool = False
     main: bool = False
     named_main: bool = False
+    #: whether ``rest`` comes from names or a form alone
+    weak: bool = False
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; scripts, styles, comments of the markup and the title are no text."""
     stack: list[Open] = []
+    opened_by: dict[int, Open] = {}
     found: list[Block] = []
     held: list[str] = []
     linked = links = number = 0
@@ -100,23 +105,7 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            inner = max((i for i, x in enumerate(stack) if x.main), default=-1)
-            outer = max((i for i, x in enumerate(stack) if x.rest), default=-1)
-            # a header inside the article is the article's own
-            tags = [x.tag for x in stack]
-            heads = [i for i, t in enumerate(tags) if t == "header"]
-            rest = outer >= 0 or any(i > inner and inner < 0 for i in heads)
-            found.append(
-                Block(
-                    text,
-                    tuple(x.number for x in stack),
-                    tags[-1] if tags else "",
-                    linked,
-                    inner >= 0 and not rest,
-                    rest,
-                    any(x.named_main for x in stack),
-                )
-            )
+            found.append(Block(text, tuple(x.number for x in stack), stack[-1].tag if stack else "", linked))
         linked = 0
 
     for m in _TOKEN.finditer(page):
@@ -152,17 +141,62 @@ def blocks_of(page: str) -> list[Block]:
         while stack and stack[-1].tag in _ENDS.get(tag, ()):
             stack.pop()
         number += 1
-        opened = Open(tag, number, tag in _REST, tag in _MAIN)
+        opened = Open(tag, number, tag in _REST, tag in _MAIN, weak=tag in _WRAPPERS)
         if m[4] and ("=" in m[4] or "hidden" in m[4].lower()):
             words = frozenset(w for x in _NAMED.findall(m[4]) for w in re.split(r"[^a-z0-9]+", _spread("".join(x)).lower()))
-            opened.rest |= tag not in ("html", "body") and (bool(words & _REST_WORDS) or _HIDDEN.search(m[4]) is not None)
             opened.named_main = bool(words & _MAIN_WORDS)
+            # names of main, and of an article that is called a post too, say what stands beside it
+            own = tag == "main" or tag == "article" and opened.named_main
+            if tag not in ("html", "body") and not own and words & _REST_WORDS:
+                opened.weak |= not opened.rest
+                opened.rest = True
+            if tag not in ("html", "body") and _HIDDEN.search(m[4]):
+                opened.rest, opened.weak = True, False
+        opened_by[number] = opened
         stack.append(opened)
     held.append(page[at:])
     flush()
+    _settle(found, opened_by)
     return found
 
 
+def _settle(blocks: list[Block], opened_by: dict[int, Open]) -> None:
+    """Says which blocks are main text or the rest by the tags around them.
+
+    A form or a name such as has-sidebar is no sign against a container of most of the main
+    text, where hardly any of that would be left otherwise.
+    """
+    paths = [[opened_by[n] for n in b.path] for b in blocks]
+    for b, path in zip(blocks, paths, strict=True):
+        b.named_main = any(x.named_main for x in path)
+    tagged = [b.named_main or any(x.main for x in path) for b, path in zip(blocks, paths, strict=True)]
+    if not any(tagged):
+        tagged = [True] * len(blocks)
+    size = left = 0
+    held: dict[int, int] = {}
+    for b, path, counts in zip(blocks, paths, tagged, strict=True):
+        if counts:
+            size += len(b.text)
+            if not any(x.rest for x in path):
+                left += len(b.text)
+            for x in path:
+                if x.weak:
+                    held[x.number] = held.get(x.number, 0) + len(b.text)
+    if 50 * left < size:
+        for n, inside in held.items():
+            if 2 * inside > size or opened_by[n].main:
+                opened_by[n].rest = False
+    for b, path in zip(blocks, paths, strict=True):
+        main = [i for i, x in enumerate(path) if x.main]
+        rest = [i for i, x in enumerate(path) if x.rest]
+        # main inside a container that only a name calls the rest is main; so is a header inside the article
+        if rest and not any(path[i].tag == "main" and i > rest[-1] and all(path[j].weak for j in rest) for i in main):
+            b.rest = True
+        elif not main:
+            b.rest = any(x.tag == "header" for x in path)
+        b.main = bool(main) and not b.rest
+
+
 def _spread(name: str) -> str:
     """navBar as nav-Bar."""
     return re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name)

@@ -136,6 +136,36 @@ def test_main_text_of_a_page():
     assert html_main.main_text(PAGE[: PAGE.index("<aside")]) == STORY
 
 
+@pytest.mark.parametrize(
+    "before, after",
+    [
+        ("<form id=aspnetForm>{}<article>", "</article></form>"),
+        ("<div class='layout has-sidebar'>{}<article>", "</article></div>"),
+        ("{}<main class='no-sidebar'>", "</main>"),
+        ("{}<article class='post comments-open'>", "</article>"),
+        ("<form class=search><div class='has-sidebar'>{}<article class=comments-open>", "</article></div></form>"),
+        ("<div class='layout has-sidebar'>{}<div>", "</div></div>"),
+        ("{}<article data-id=sidebar data-role=search>", "</article>"),
+    ],
+)
+def test_a_wrapper_does_not_empty_the_page(before, after):
+    nav = "<nav><a>Home</a></nav>"
+    story = "".join(f"<p>Paragraph {i} of the story, long enough to matter, and with signs.</p>" for i in range(5))
+    ad = "<div class=ad>Buy this now, it is cheap</div>"
+    page = f"<html><body>{before.format(nav)}{story}{ad}{after}<footer>All rights</footer></body></html>"
+    expected = " ".join(re.findall("<p>(.*?)</p>", story))
+    assert html_main.main_text(page) == expected
+    assert [x.text for x in html_main.blocks_of(page) if x.rest] == ["Home", "Buy this now, it is cheap", "All rights"]
+
+
+def test_articles_of_comments_and_teasers_are_no_main_text():
+    story = "<article><p>The story itself, long enough to matter, with signs.</p></article>"
+    notes = "<article class=comment><p>I like this story a lot, it is great, says a reader.</p></article>" * 9
+    page = f"<body>{story}<div id=comments>{notes}</div><aside><article><p>Another story, also long.</p></article></aside></body>"
+    assert html_main.main_text(page) == "The story itself, long enough to matter, with signs."
+    assert html_main.main_text("<article hidden><p>Nobody sees this text, long as it is.</p></article>") == ""
+
+
 def test_page_edge_cases(spark):
     rows = [(1, "u", None), (2, None, ""), (3, "u", "just text, no tags at all"), (4, "u", "<p>un<b>closed <i"), (5, "u", "<nav>menu</nav>"), (6, "u", "<article>" + "<div>" * 3000 + "deep" + "<p>x</p>" * 200), (1, "u", None), (7, "u", "<!-- never closed <p>x"), (8, "u", "a < b &unknown; &#65;")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("text", F.lit(1))
