@@ -22,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from notequarry.llm.common import LOWER, batches, columns, parts, text_bytes
 from notequarry.llm.components import components
@@ -265,6 +266,15 @@ def near_components(prints: DataFrame, limit: int = LIMIT, full: int = FULL_BUCK
     return components(sorted_rows.mapInArrow(_search(limit), "u long, v long"))
 
 
+def _rooted(printed: DataFrame, limit: int) -> DataFrame:
+    """print, root of its component, and lowest id of the rows with this print."""
+    nodes = printed.groupBy("print").agg(F.min("doc_id").alias("lowest"))
+    tied = materialise(near_components(printed, limit), "components")
+    return nodes.join(tied, nodes["print"] == tied["node"], "left").select(
+        "print", F.coalesce("root", "print").alias("root"), "lowest"
+    )
+
+
 def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """One row per row of ``docs``: doc_id, fingerprint (16 hex digits), component_id.
 
@@ -277,11 +287,7 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     - An empty table gives an empty result; further columns are ignored.
     """
     printed = materialise(fingerprints(docs, id_col, text_col), "prints")
-    nodes = printed.groupBy("print").agg(F.min("doc_id").alias("lowest"))
-    tied = materialise(near_components(printed, limit), "components")
-    rooted = nodes.join(tied, nodes["print"] == tied["node"], "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "lowest"
-    )
+    rooted = _rooted(printed, limit)
     smallest = rooted.groupBy("root").agg(F.min("lowest").alias("component_id"))
     classes = rooted.join(smallest, "root").select("print", "component_id")
     return printed.join(classes, "print").select(
@@ -290,11 +296,24 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their component, with all their columns.
+    """One row of each component, with all its columns: that with the smallest id.
 
-    Rows without an id stay, as nothing says which of them to prefer.
+    Rows are joined to the keepers by id and fingerprint, so an id that repeats keeps no
+    row of another component. Rows without an id stay, as nothing says which to prefer.
     """
-    marks = simhash_dedup(docs, id_col, text_col, limit)
-    kept = marks.filter(F.col("component_id").isNotNull()).select(F.col("component_id").alias(id_col)).distinct()
-    named = docs.filter(F.col(id_col).isNotNull()).join(kept, id_col, "left_semi").select(*docs.columns)
+    at = docs.columns.index(text_col)
+
+    def marked(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def make(batch: pa.RecordBatch) -> pa.RecordBatch:
+            found = np.array([fingerprint(x) for x in text_bytes(batch.column(at))], np.uint64)
+            return pa.record_batch([*batch.columns, pa.array(found.view(np.int64))], [*batch.schema.names, "__print"])
+
+        return batches(rows, make)
+
+    rooted = _rooted(materialise(fingerprints(docs, id_col, text_col), "prints"), limit)
+    leader = F.min(F.struct("lowest", "print")).alias("leader")
+    led = rooted.filter(F.col("lowest").isNotNull()).groupBy("root").agg(leader)
+    kept = led.select(F.col("leader.lowest").alias(id_col), F.col("leader.print").alias("__print"))
+    wide = docs.filter(F.col(id_col).isNotNull()).mapInArrow(marked, T.StructType([*docs.schema.fields, T.StructField("__print", T.LongType())]))
+    named = wide.join(kept, [id_col, "__print"], "left_semi").dropDuplicates([id_col, "__print"]).select(*docs.columns)
     return named.union(docs.filter(F.col(id_col).isNull()))

@@ -176,3 +176,20 @@ def test_near_copies_keep_columns(docs):
     kept = simhash.drop_near_copies(docs)
     assert kept.columns == docs.columns
     assert {r.doc_id for r in kept.collect()} >= {2, 8, None}
+
+
+def test_repeated_ids_keep_one_row_of_each_group(spark):
+    one = " ".join(f"alpha{i}" for i in range(300))
+    other = " ".join(f"omega{i}" for i in range(300))
+    # 5 leads the first group; in the second it stands behind 3; 9 is alone, twice; 7 leads two groups
+    lone, left, right = ("of a third kind " * 40, " ".join(f"left{i}" for i in range(90)), " ".join(f"right{i}" for i in range(90)))
+    rows = [(5, one), (6, one), (5, other), (3, other), (9, lone), (9, lone), (7, left), (7, right), (8, right), (None, one)]
+    # two versions of one text under one id
+    long = " ".join(f"word{i}" for i in range(3000))
+    longer = (long + "".join(f" more{i}" for i in range(n)) for n in range(1, 300))
+    far = lambda t: (simhash.fingerprint(long.encode()) ^ simhash.fingerprint(t.encode())).bit_count()
+    rows += [(20, long), (20, next(t for t in longer if 0 < far(t) <= simhash.LIMIT)), (21, long)]
+    got = simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    kept = [(r.doc_id, r.text) for r in got if r.doc_id != 20]
+    assert sorted(kept, key=str) == sorted([(5, one), (3, other), (9, lone), (7, left), (7, right), (None, one)], key=str)
+    assert sum(r.doc_id == 20 for r in got) == 1
