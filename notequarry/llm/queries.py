@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notequarry.llm import exact_dedup, html_main, language_id, lm_scoring, packing, pii, piece_encoding, quality, simhash, top_k
+from notequarry.llm import (
+    exact_dedup,
+    html_main,
+    language_id,
+    lm_scoring,
+    packing,
+    pii,
+    piece_encoding,
+    quality,
+    shard_shuffle,
+    simhash,
+    top_k,
+)
 from notequarry.llm.common import table
 
 #: Folder of the public vocabulary files; the operators take the path of a file.
@@ -105,3 +117,8 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.encode_digests(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
+
+
+@query
+def op11_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_shuffle.document_shards(table(spark, sf_dir, "documents"))
