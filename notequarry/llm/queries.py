@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notequarry.llm import (
+    collocations,
     exact_dedup,
     html_main,
     language_id,
@@ -122,3 +123,54 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op11_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_shuffle.document_shards(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def _phrases(least: int, top: int) -> str:
+    """DuckDB: collocations of ``documents`` from all stretches of one to four words."""
+    words = "list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda x: x <> '')"
+    return f"""
+WITH pieces AS (
+    SELECT lang, {words} AS w FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\n\x0B\f\r]')) AS piece
+        FROM documents)
+), starts AS (
+    SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces WHERE len(w) > 0
+), stretches AS (
+    SELECT lang, w[i : i + size - 1] AS p, size FROM starts, (SELECT unnest([1, 2, 3, 4]) AS size)
+    WHERE i + size - 1 <= len(w)
+), totals AS (
+    SELECT lang, count(*) AS n FROM starts GROUP BY lang
+), counts AS (
+    SELECT lang, p, size, count(*) AS f FROM stretches GROUP BY lang, p, size HAVING count(*) >= {least}
+), inside AS (
+    SELECT c.lang, unnest([c.p[i : i + part - 1] for i in range(1, c.size - part + 2)]) AS p, c.f
+    FROM counts c, (SELECT unnest([2, 3]) AS part) WHERE part < c.size
+), around AS (
+    SELECT lang, p, max(f) AS f FROM inside GROUP BY lang, p
+), kept AS (
+    SELECT c.* FROM counts c LEFT JOIN around o ON c.lang = o.lang AND c.p = o.p
+    WHERE c.size > 1 AND (o.f IS NULL OR 100 * CAST(o.f AS HUGEINT) < 80 * CAST(c.f AS HUGEINT))
+), cut AS (
+    SELECT c.lang, c.p, c.f AS a, x.k, l.f AS l, r.f AS r,
+           CAST((2000000 * CAST(c.f AS HUGEINT)) // (CAST(l.f AS HUGEINT) + r.f) AS BIGINT) AS score
+    FROM kept c JOIN (SELECT unnest([1, 2, 3]) AS k) x ON x.k < c.size
+    JOIN counts l ON l.lang = c.lang AND l.p = c.p[1 : x.k]
+    JOIN counts r ON r.lang = c.lang AND r.p = c.p[x.k + 1 : c.size]
+), worst AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, p ORDER BY score, k) AS nth FROM cut
+), named AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score FROM worst WHERE nth = 1
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM named
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= {top}
+"""
+
+
+ORACLES["op13_collocations"] = _phrases(collocations.LEAST, collocations.TOP)
