@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from notequarry.llm import (
     collocations,
     exact_dedup,
+    hard_negatives,
     html_main,
     language_id,
     lm_scoring,
@@ -125,6 +126,40 @@ def op11_shard_shuffle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_shuffle.document_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(vectors, F.col("id") % 100 == 0, label=moved)
+
+
+ORACLES["op12_hard_negatives"] = """
+WITH whole AS (
+    SELECT row_number() OVER () AS nr, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT a.nr, a.vec_id AS anchor_id, c.nr AS other, c.vec_id, a.label = c.label AS same,
+           CAST(coalesce(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])), 0) AS BIGINT) AS score
+    FROM whole a JOIN whole c ON a.vec_id % 100 = 0 AND a.nr <> c.nr
+), near AS (
+    SELECT *, row_number() OVER (PARTITION BY nr ORDER BY score DESC, vec_id) AS nth FROM scored WHERE same
+), pairs AS (
+    SELECT p.nr, p.anchor_id, p.nth, p.vec_id AS positive_id, p.score AS positive_score,
+           n.vec_id AS negative_id, n.score AS negative_score
+    FROM near p JOIN scored n ON p.nth <= 5 AND n.nr = p.nr AND NOT n.same
+     AND 30 * CAST(p.score AS HUGEINT) <= 100 * CAST(n.score AS HUGEINT)
+     AND 100 * CAST(n.score AS HUGEINT) <= 90 * CAST(p.score AS HUGEINT)
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY nr, nth ORDER BY negative_score DESC, negative_id) AS INTEGER) AS rank
+    FROM pairs
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
