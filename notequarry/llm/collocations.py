@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,8 +36,9 @@ COVERED = 80
 SCALE = 2_000_000
 #: Suffixes that one group holds, about; a prefix with over a quarter of that is extended.
 BUDGET = 2_000_000
-#: Bytes of text that are split and hashed at a time; a longer piece is taken whole.
-CHUNK = 4 << 20
+#: Bytes of text that are split and hashed at a time (a longer piece is taken whole), and that
+#: are joined to be cut into such stretches (a longer text is taken whole).
+CHUNK, JOINED = 1 << 20, 8 << 20
 #: Frequent words up to which tasks are sent their list; with more, rare words are not cut off.
 VOCABULARY = 4_000_000
 #: Characters that end a piece, and that part words.
@@ -71,7 +73,7 @@ class Split:
         self.raw, self.start, self.end = raw, edges[0::2], edges[1::2]
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start] if len(self.start) else self.start
         # sums of value * base**place, so that a word's hash is a difference moved to place 0
-        size = 1 << max(CHUNK.bit_length(), len(raw).bit_length())
+        size = 1 << max((CHUNK + CHUNK // 8).bit_length(), len(raw).bit_length())
         power, inverse = _powers(size)
         value = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(2 * seed + 1))
         total = np.zeros(len(raw) + 1, np.uint64)
@@ -84,8 +86,18 @@ def _language_hash(language: str, seed: int) -> int:
     return int.from_bytes(hashlib.blake2b(f"{seed} {language}".encode("utf-8", "replace"), digest_size=8).digest(), "little")
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about JOINED bytes of text, one row at least."""
+    size = np.array(pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False), np.int64)
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(np.cumsum(size[at:]), JOINED, "right")))
+        yield batch.slice(at, n)
+        at += n
+
+
 def _stretches(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[Split, np.ndarray, np.ndarray, list[str]]]:
-    """Words of a batch in stretches of about CHUNK bytes that end where a piece ends.
+    """Words of a few texts in stretches of about CHUNK bytes that end where a piece ends.
 
     With each: the symbol of every word (its hash and its language's), the number of its
     language, and the languages.
@@ -118,20 +130,26 @@ def _stretches(batch: pa.RecordBatch, seed: int) -> Iterator[tuple[Split, np.nda
 
 def _count_words(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for split, symbol, language, languages in _stretches(batch, seed):
+        for rows in (x for batch in batches if batch.num_rows for x in _slices(batch)):
+            found: list[tuple[np.ndarray, ...]] = []
+            for split, symbol, language, languages in _stretches(rows, seed):
                 distinct, first, n = np.unique(symbol, return_index=True, return_counts=True)
                 size = (split.end - split.start)[first]
-                offsets = np.zeros(len(first) + 1, np.int64)
-                np.cumsum(size, out=offsets[1:])
-                inside = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size) + np.repeat(split.start[first], size)
-                words = pa.Array.from_buffers(
-                    pa.binary(), len(first), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(split.raw[inside])]
-                )
-                own = pa.array(languages).take(pa.array(language[first], pa.int32()))
-                yield pa.record_batch([pa.array(distinct), own, words, pa.array(n.astype(np.int64))], ["symbol", "lang", "word", "n"])
+                ends = np.cumsum(size)
+                inside = np.arange(ends[-1]) + np.repeat(split.start[first] - ends + size, size)
+                found.append((distinct, n, size, language[first], split.raw[inside]))
+            if not found:
+                continue
+            # a word of several stretches is one row
+            symbol, n, size, language, raw = (np.concatenate(x) for x in zip(*found, strict=True))
+            distinct, first, number = np.unique(symbol, return_index=True, return_inverse=True)
+            total = np.bincount(number, weights=n).astype(np.int64)
+            ends = np.append(0, np.cumsum(size)).astype(np.int32)
+            words = pa.Array.from_buffers(pa.binary(), len(symbol), [None, pa.py_buffer(ends), pa.py_buffer(raw)])
+            own = pa.array(languages).take(pa.array(language[first]))
+            yield pa.record_batch(
+                [pa.array(distinct), own, words.take(pa.array(first)), pa.array(total)], ["symbol", "lang", "word", "n"]
+            )
 
     return run
 
@@ -139,42 +157,40 @@ def _count_words(seed: int):
 def counted_words(docs: DataFrame, seed: int = 0) -> DataFrame | None:
     """symbol, lang, word, n of every word of every language, or None if two words share a symbol."""
     made = docs.mapInArrow(_count_words(seed), "symbol long, lang string, word binary, n long")
-    name = F.struct("lang", "word")
-    summed = made.groupBy("symbol").agg(F.min(name).alias("a"), F.max(name).alias("b"), F.sum("n").alias("n"))
+    summed = made.groupBy("symbol", "lang", F.col("word").cast("string").alias("word")).agg(F.sum("n").alias("n"))
     held = materialise(summed, "words")
-    # a symbol of two words has the smaller and the larger of them
-    if held.filter(F.col("a") != F.col("b")).limit(1).count():
+    if held.groupBy("symbol").agg(F.count("*").alias("words")).filter(F.col("words") > 1).limit(1).count():
         return None
-    return held.select("symbol", F.col("a.lang").alias("lang"), F.col("a.word").cast("string").alias("word"), "n")
+    return held
+
+
+def _block(split: Split, symbol: np.ndarray, listed: np.ndarray | None) -> np.ndarray:
+    """The symbols of a stretch, with 0 where a piece or a run of frequent words ends."""
+    ends = np.append(split.piece[1:] != split.piece[:-1], True)
+    known, kind = np.ones(len(symbol), bool), np.int64
+    if listed is not None:
+        place = np.minimum(np.searchsorted(listed, symbol), max(0, len(listed) - 1))
+        known = listed[place] == symbol if len(listed) else ~known
+        symbol, kind = place + 1, np.uint32
+        ends |= ~known
+        ends[:-1] |= ~known[1:]
+    # a word of its own makes no phrase
+    kept = known & ~(ends & np.append(True, ends[:-1]))
+    symbol, ends = symbol[kept], ends[kept]
+    block = np.zeros(len(symbol) + int(ends.sum()), kind)
+    block[np.arange(len(symbol)) + np.cumsum(ends) - ends] = symbol
+    return block
 
 
 def _symbols(seed: int, frequent):
-    """Blocks of symbols, one after another, with 0 where a piece or a run of frequent words ends."""
+    """Blocks of symbols of a few texts each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = frequent.value if frequent is not None else None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            for split, symbol, _, _ in _stretches(batch, seed):
-                ends = np.append(split.piece[1:] != split.piece[:-1], True)
-                if listed is None:
-                    known, kind = np.ones(len(symbol), bool), np.int64
-                else:
-                    place = np.minimum(np.searchsorted(listed, symbol), max(0, len(listed) - 1))
-                    known = listed[place] == symbol if len(listed) else np.zeros(len(symbol), bool)
-                    symbol, kind = place + 1, np.uint32
-                    ends |= ~known
-                    ends[:-1] |= ~known[1:]
-                # a word of its own makes no phrase
-                alone = ends & np.append(True, ends[:-1])
-                kept = known & ~alone
-                symbol, ends = symbol[kept], ends[kept]
-                places = np.arange(len(symbol)) + np.cumsum(ends) - ends
-                block = np.zeros(len(symbol) + int(ends.sum()), kind)
-                block[places] = symbol
-                if len(block):
-                    yield pa.record_batch([pa.array([block.tobytes()], pa.binary())], ["block"])
+        for rows in (x for batch in batches if batch.num_rows for x in _slices(batch)):
+            made = [_block(split, symbol, listed).tobytes() for split, symbol, _, _ in _stretches(rows, seed)]
+            if any(made):
+                yield pa.record_batch([pa.array([b"".join(made)], pa.binary())], ["block"])
 
     return run
 

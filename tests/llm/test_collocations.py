@@ -100,6 +100,7 @@ def test_words_that_share_a_symbol_are_seen(spark, rows, monkeypatch):
 
     def clash(seed):
         def run(batches):
+            list(batches)
             yield collocations.pa.record_batch([[1, 1], ["en", "de"], [b"a", b"a"], [1, 1]], ["symbol", "lang", "word", "n"])
 
         return run
