@@ -181,8 +181,3 @@ def mentions(spark: SparkSession, sf_dir: str, window: str = "sentence") -> Data
     found = concept_enrich(hits(spark, sf_dir, window), prepared(spark, sf_dir, "concepts"))
     found = negation_scope(found, NEGATION_WORDS)
     return uncertainty_scope(found, UNCERTAINTY_WORDS).drop("words")
-
-
-def stored_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Mentions written once and read back, for operators that join them to themselves."""
-    return materialise(mentions(spark, sf_dir), "mentions")

@@ -227,6 +227,7 @@ def statement(final: str, extra: dict[str, str] | None = None) -> str:
     visit(final, ())
     if not order:
         return final
-    heads = ",\n".join(f"{n} AS MATERIALIZED ({known[n]})" if n != "walk" else f"{n} AS ({known[n]})" for n in order)
-    recursive = "RECURSIVE " if "walk" in order else ""
+    own = {n for n in order if re.search(rf"(?:FROM|JOIN)\s+{n}\b", known[n])}
+    heads = ",\n".join(f"{n} AS ({known[n]})" if n in own else f"{n} AS MATERIALIZED ({known[n]})" for n in order)
+    recursive = "RECURSIVE " if own else ""
     return f"WITH {recursive}{heads}\n{final}"

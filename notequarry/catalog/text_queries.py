@@ -9,7 +9,7 @@ from notequarry.catalog.registry import pick, query
 from notequarry.catalog.sql import literal
 from notequarry.functions import codes, keys, text
 from notequarry.operators import consume, dictionary, spans, structure, variants
-from notequarry.operators.parts import split_to_parts
+from notequarry.operators.parts import parts_of_lines, split_to_parts
 from notequarry.resources import CATEGORY_NAMES, EXCLUSION_WORDS, LOOKUP_EXCLUDED_TAGS, TREEBANK_TAGS
 from notequarry.sources.files import note_blacklist
 
@@ -285,6 +285,15 @@ def _split_to_parts(spark, sf):
     return X.note_parts(spark, sf)
 
 
+@query("SELECT doc_id, part, text FROM parts")
+def split_lines_to_parts(spark, sf):
+    """The same parts from a row per line, as files beyond the size of a row are read."""
+    docs = X.table(spark, sf, "documents")
+    rows = docs.select("doc_id", F.posexplode(F.split("text", r"\r?\n")).alias("pos", "line"))
+    lines = rows.withColumn("block", F.floor(F.col("pos") / 8))
+    return parts_of_lines(lines, X.PART_CAP, ["doc_id"])
+
+
 @query("SELECT doc_id, part FROM parts", name="part_numbering")
 def _part_numbering(spark, sf):
     docs = X.table(spark, sf, "documents").select("doc_id", "text")

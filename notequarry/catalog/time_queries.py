@@ -334,21 +334,29 @@ PHRASES = {
     "lexicon_rows": "SELECT unnest([" + listed(p for p, _ in NOTE_RELATIONS) + "]) AS phrase, unnest(["
     + listed(r for _, r in NOTE_RELATIONS) + "]) AS relation",
     "time_phrases": "SELECT phrase, min(relation) AS relation, len(string_split(phrase, ' ')) AS n FROM lexicon_rows GROUP BY phrase",
-    "all_phrases": """SELECT t.doc_id, t.part, t.sent_id, t.tok_idx AS tok_start, t.tok_idx + p.n - 1 AS tok_end,
-        t."begin", e."end", p.phrase, p.relation
-        FROM tokens t JOIN time_phrases p ON lower(t.text) = string_split(p.phrase, ' ')[1]
-        JOIN sent_words s ON s.doc_id = t.doc_id AND s.part = t.part AND s.sent_id = t.sent_id
-        JOIN tokens e ON e.doc_id = t.doc_id AND e.part = t.part AND e.sent_id = t.sent_id AND e.tok_idx = t.tok_idx + p.n - 1
-        WHERE list_slice(s.words, t.tok_idx + 1, t.tok_idx + p.n) = string_split(p.phrase, ' ')""",
-    "found_phrases": """SELECT * FROM all_phrases a WHERE NOT EXISTS (SELECT 1 FROM all_phrases o
-        WHERE o.doc_id = a.doc_id AND o.part = a.part AND o."begin" < a."end" AND o."end" > a."begin"
-        AND o."end" - o."begin" > a."end" - a."begin")""",
+    "grams": """SELECT doc_id, part, sent_id, i AS tok_start, n, array_to_string(words[i + 1 : i + n], ' ') AS gram
+        FROM (SELECT s.*, unnest(range(0, len(words))) AS i FROM sent_words s), (SELECT DISTINCT n FROM time_phrases)
+        WHERE i + n <= len(words)""",
+    "longest": """SELECT doc_id, part, sent_id, tok_start, tok_start + max(p.n) - 1 AS tok_end,
+        arg_max(phrase, p.n) AS phrase, arg_max(relation, p.n) AS relation
+        FROM grams g JOIN time_phrases p ON p.n = g.n AND p.phrase = g.gram GROUP BY doc_id, part, sent_id, tok_start""",
+    "following": """SELECT a.*, b.tok_start AS next_start FROM longest a ASOF LEFT JOIN longest b
+        ON b.doc_id = a.doc_id AND b.part = a.part AND b.sent_id = a.sent_id AND b.tok_start > a.tok_end""",
+    "apart": """SELECT f.* FROM following f JOIN (SELECT doc_id, part, sent_id, min(tok_start) AS tok_start
+            FROM longest GROUP BY doc_id, part, sent_id) USING (doc_id, part, sent_id, tok_start)
+        UNION ALL
+        SELECT f.* FROM apart w JOIN following f ON f.doc_id = w.doc_id AND f.part = w.part
+            AND f.sent_id = w.sent_id AND f.tok_start = w.next_start""",
+    "found_phrases": """SELECT p.doc_id, p.part, p.sent_id, p.tok_start, p.tok_end, a."begin", e."end", phrase, relation
+        FROM apart p
+        JOIN tokens a ON a.doc_id = p.doc_id AND a.part = p.part AND a.sent_id = p.sent_id AND a.tok_idx = p.tok_start
+        JOIN tokens e ON e.doc_id = p.doc_id AND e.part = p.part AND e.sent_id = p.sent_id AND e.tok_idx = p.tok_end""",
 }
 
 
 def phrase_table(spark) -> LookupTable:
     rows = spark.createDataFrame(list(NOTE_RELATIONS), "phrase string, relation string")
-    return LookupTable.prepare(temporal.phrase_index(rows), "phrases")
+    return LookupTable.prepare(temporal.phrase_trie(rows), "phrases")
 
 
 @query(
@@ -362,23 +370,19 @@ def lexicon_phrase_join(spark, sf):
 #: Relations that runs of the benchmark items stand for, over the given notes.
 RUN_RELATIONS = ("BEFORE", "AFTER", "DURING", "STARTING", "CONTINUING", "ENDING", "NOW")
 RUN_PHRASES = {
+    **PHRASES,
     "lexicon_rows": f"SELECT term AS phrase, {sql_at(list(RUN_RELATIONS), 'item_id')} AS relation FROM terms WHERE tcount > 1",
-    **{name: PHRASES[name] for name in ("time_phrases", "all_phrases", "found_phrases")},
 }
+del RUN_PHRASES["parts"]
 
 
-#: Compares pairs of phrases, which is too slow beyond the smallest tables: a test runs it there.
-RUN_SQL = statement(
+@query(
     pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i phrase relation", "found_phrases"), RUN_PHRASES
 )
-
-
-@query()
 def lexicon_phrases_of_notes(spark, sf):
     runs = X.prepared(spark, sf, "terms").frame.filter("tcount > 1")
     rows = runs.select(F.col("term").alias("phrase"), at(RUN_RELATIONS, F.col("item_id")).alias("relation"))
-    phrases = LookupTable.prepare(temporal.phrase_index(rows), "run-phrases")
-    return temporal.lexicon_phrases(X.words(spark, sf), phrases)
+    return temporal.lexicon_phrases(X.words(spark, sf), LookupTable.prepare(temporal.phrase_trie(rows), "run-phrases"))
 
 
 EVENTS_FOUND = {

@@ -3,7 +3,7 @@
 The unit of work is one sentence with its tokens in arrays. Everything inside a
 sentence is computed on that row, so text flows from scan to tokens without a
 shuffle. A pattern covers its text without gaps; the end of match ``k`` is the
-length of the first ``k`` matches joined.
+summed length of the first ``k`` matches.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from notequarry.functions.arrays import running_sum, scan
 from notequarry.operators import KEYS
 from notequarry.plans.lookup_table import LookupTable
 from notequarry.functions.codes import lowest_category_tag
@@ -46,40 +47,18 @@ def _matches(text: Column | str, pattern: str) -> Column:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _joined_length(matches: Column, count: Column) -> Column:
-    """Length of the first ``count`` matches."""
-    return F.length(F.array_join(F.slice(matches, F.lit(1), count), ""))
-
-
-#: Matches per block: offsets are summed inside a block and over whole blocks, so
-#: a very long sentence costs its length times this, not its length squared.
-BLOCK = 64
-
-
 def explode_matches(frame: DataFrame, keep: Sequence[str], matches: str, index: str) -> DataFrame:
     """One row per match: ``keep``, its index, ``_one`` and ``_to``, where it ends.
 
-    Outer generators throughout: the inner form would add a filter that runs the
-    pattern a second time.
+    The matches are placed inside their row, so only ``keep`` goes with each of them. An outer
+    generator: the inner form would add a filter that runs the pattern a second time.
     """
-    every = F.sequence(F.lit(0), F.floor(F.greatest(F.size(matches) - 1, F.lit(0)) / BLOCK).cast("int"))
-    texts = F.transform(every, lambda b: F.array_join(F.slice(F.col(matches), b * BLOCK + 1, BLOCK), ""))
-    blocked = frame.select(*keep, matches, texts.alias("_texts")).select(
-        *keep, matches, "_texts", F.posexplode_outer("_texts").alias("_b", "_text")
-    )
-    blocks = blocked.select(
-        *keep,
-        "_b",
-        _joined_length(F.col("_texts"), F.col("_b")).alias("_from"),
-        F.slice(F.col(matches), F.col("_b") * BLOCK + 1, F.lit(BLOCK)).alias("_block"),
-    )
-    rows = blocks.select(*keep, "_b", "_from", "_block", F.posexplode_outer("_block").alias("_i", "_one"))
-    return rows.filter(F.col("_one").isNotNull()).select(
-        *keep,
-        (F.col("_b") * BLOCK + F.col("_i")).alias(index),
-        "_one",
-        (F.col("_from") + _joined_length(F.col("_block"), F.col("_i") + 1)).alias("_to"),
+    ends = frame.select(*keep, matches, running_sum(F.transform(matches, F.length)).alias("_ends"))
+    named = F.arrays_zip(
+        F.sequence(F.lit(0), F.size(matches) - 1).alias(index), F.col(matches).alias("_one"), F.col("_ends").alias("_to")
     )
+    placed = ends.select(*keep, F.when(F.size(matches) > 0, named).alias("_placed"))
+    return placed.select(*keep, F.inline_outer("_placed")).filter(F.col("_one").isNotNull())
 
 
 def segment(parts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -219,14 +198,12 @@ def tag_letter(pos: Column) -> Column:
 
 def run_ends(runs: Column) -> Column:
     """Runs with the place after each, (run, end), in one pass over the array."""
-    nothing = F.struct(F.lit(0).alias("total"), F.array().cast("array<struct<run:string,end:int>>").alias("all"))
 
-    def step(acc: Column, run: Column) -> Column:
-        end = acc["total"] + F.length(run)
-        entry = F.struct(run.alias("run"), end.alias("end"))
-        return F.struct(end.alias("total"), F.array_append(acc["all"], entry).alias("all"))
+    def step(total: Column, run: Column) -> tuple[Column, Column]:
+        end = total + F.length(run)
+        return end, F.struct(run.alias("run"), end.alias("end"))
 
-    return F.aggregate(runs, nothing, step)["all"]
+    return scan(runs, F.lit(0), step, "struct<run:string,end:int>")
 
 
 def chunk(tagged: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:

@@ -34,6 +34,25 @@ def whole_texts(spark: SparkSession, root: str, glob: str | None = None, encodin
     return files.select("path", F.make_valid_utf8(raw).alias("text"), failure.alias("failure"))
 
 
+def line_rows(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
+    """A row per line of the files below a root, for files of any size: path, block, pos, line.
+
+    Large files are read in splits. ``block`` is where the split begins in its file, and
+    ``pos`` rises within it, so both together give the order of the lines. A line feed ends
+    a line, with a carriage return before it; wrong bytes become replacement characters.
+    """
+    reader = spark.read.option("lineSep", "\n").option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    read = reader.text(root).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("pos"),
+        F.col("value").alias("line"),
+    )
+    return read.withColumn("line", F.regexp_replace(F.make_valid_utf8("line"), r"\r\z", ""))
+
+
 def base_name(path: Column) -> Column:
     return F.substring_index(path, "/", -1)
 
