@@ -11,7 +11,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from notequarry.operators.context import negation_scope, uncertainty_scope
+from notequarry.operators.context import Cues, negation_scope, uncertainty_scope
 from notequarry.operators.dictionary import concept_enrich, find_terms, rare_word_index
 from notequarry.operators.parts import split_to_parts
 from notequarry.operators.structure import (
@@ -30,8 +30,8 @@ from notequarry.session import materialise
 #: Part cap of the queries; small enough that notes have several parts.
 PART_CAP = 2000
 #: Cue words of the invented prose.
-NEGATION_WORDS = ("was", "by")
-UNCERTAINTY_WORDS = ("from", "this")
+NEGATION_WORDS = Cues(("was", "by"), before=("of the", "de la"), after=("in the",), stops=(",", "and that"))
+UNCERTAINTY_WORDS = Cues(("from", "this"), before=("it is",), stops=("and",))
 #: Closed-class words of the invented prose.
 CLOSED_WORDS = ("of", "to", "in", "for", "with", "on", "at", "de", "en", "von", "zu", "para")
 GROUPS = ("drug", "disorder", "finding", "procedure", "anatomy")

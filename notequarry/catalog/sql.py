@@ -40,6 +40,20 @@ def token_type_sql(text: str) -> str:
         WHEN regexp_matches({text}, '^\\p{{L}}') THEN 'Word' ELSE 'Symbol' END"""
 
 
+def places(words: str, phrases) -> str:
+    """Where one of the phrases begins in a list of words; no two of them share a word there."""
+    runs = [f"list_slice({words}, i, i + {len(p.split(' ')) - 1}) = [{listed(p.split(' '))}]" for p in phrases]
+    return f"list_filter(range(1, len({words}) + 1), lambda i: {' OR '.join(runs) or 'false'})"
+
+
+def in_scope(cues) -> str:
+    """Whether a cue stands before a mention, after the last stop, or after it, before the first."""
+    return f"""(coalesce(list_max({places("before", [*cues.either, *cues.before])}), 0)
+                > coalesce(list_max({places("before", cues.stops)}), 0)
+            OR coalesce(list_min({places("after", [*cues.either, *cues.after])}), 99)
+                < coalesce(list_min({places("after", cues.stops)}), 99))"""
+
+
 CTES: dict[str, str] = {
     "note_lines": r"""
         SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS line_no
@@ -145,10 +159,10 @@ CTES: dict[str, str] = {
                c.tui, c.pref_term, c.sem_group, c.scheme, c.code, c.concept_cui,
                coalesce(c.concept_cui, c.scheme || c.code) AS concept,
                CASE WHEN c.sem_group = 'anatomy' THEN 'entity' ELSE 'event' END AS mention_class,
-               CASE WHEN list_has_any(near, [{listed(NEGATION_WORDS)}]) THEN -1 ELSE 0 END AS polarity,
-               CASE WHEN list_has_any(near, [{listed(UNCERTAINTY_WORDS)}]) THEN 1 ELSE 0 END AS uncertainty
-        FROM (SELECT *, list_concat(list_slice(words, greatest(tok_start - 6, 1), tok_start),
-                                    list_slice(words, tok_end + 2, tok_end + 8)) AS near FROM hits) h
+               CASE WHEN {in_scope(NEGATION_WORDS)} THEN -1 ELSE 0 END AS polarity,
+               CASE WHEN {in_scope(UNCERTAINTY_WORDS)} THEN 1 ELSE 0 END AS uncertainty
+        FROM (SELECT *, list_slice(words, greatest(tok_start - 6, 1), tok_start) AS before,
+                     list_slice(words, tok_end + 2, tok_end + 8) AS after FROM hits) h
         LEFT JOIN concepts c ON c.concept_id = h.cui""",
     "tagged": f"""
         SELECT t.*, CASE WHEN token_type = 'Num' THEN 'CD'

@@ -12,7 +12,7 @@ from notequarry.functions.codes import negation_prefix
 from notequarry.functions.keys import parse_keys, part_key_compose, result_envelope
 from notequarry.functions.text import form_feed_to_space, legal_char_scrub
 from notequarry.operators import KEYS
-from notequarry.operators.context import negation_scope, uncertainty_scope
+from notequarry.operators.context import NEGATION, UNCERTAINTY, Cues, negation_scope, uncertainty_scope
 from notequarry.operators.dictionary import concept_enrich, find_terms
 from notequarry.operators.parts import split_to_parts
 from notequarry.operators.structure import (
@@ -28,7 +28,6 @@ from notequarry.operators.structure import (
 )
 from notequarry.operators.temporal import doc_time_relation, event_mentions, lexicon_phrases
 from notequarry.plans.lookup_table import LookupTable
-from notequarry.resources import NEGATION_CUES, UNCERTAINTY_CUES
 from notequarry.sinks.results import (
     annotation_document,
     delimited,
@@ -52,8 +51,8 @@ class Settings:
     window: str = "sentence"
     min_span: int = 3
     use_default_annotators: bool = True
-    negation_cues: Sequence[str] = field(default=NEGATION_CUES)
-    uncertainty_cues: Sequence[str] = field(default=UNCERTAINTY_CUES)
+    negation_cues: Cues | Sequence[str] = field(default=NEGATION)
+    uncertainty_cues: Cues | Sequence[str] = field(default=UNCERTAINTY)
     #: Words of the closed class, for the tags that windows and excluded tags need.
     closed_words: Sequence[str] = ()
     #: Tokens with one of these tags start no lookup; needs the lexicon. None looks up all.

@@ -94,6 +94,12 @@ RECURRENCES = (
 NEGATION_CUES = (
     "no", "not", "without", "denies", "denied", "negative", "never", "none", "neither", "absence",
 )
+NEGATION_BEFORE = ("no evidence of", "no sign of", "free of", "negative for", "ruled out for", "rather than")
+NEGATION_AFTER = ("was ruled out", "were ruled out", "is absent", "not seen", "not found", "unlikely")
+#: Phrases that hold a cue and negate nothing.
+NO_NEGATION = ("not only", "no change in", "no increase in", "no longer than", "not necessarily")
+#: Phrases past which no cue reaches.
+SCOPE_STOPS = (";", "but", "however", "although", "except", "apart from", "because of")
 UNCERTAINTY_CUES = ("possible", "probable", "may", "might", "suspected", "likely")
 
 #: Tags that never start a dictionary lookup.
