@@ -38,7 +38,7 @@ SCALE = 2_000_000
 BUDGET = 2_000_000
 #: Bytes of text that are split and hashed at a time (a longer piece is taken whole), and that
 #: are joined to be cut into such stretches (a longer text is taken whole).
-CHUNK, JOINED = 1 << 20, 8 << 20
+CHUNK, JOINED = 1 << 20, 4 << 20
 #: Frequent words up to which tasks are sent their list; with more, rare words are not cut off.
 VOCABULARY = 4_000_000
 #: Characters that end a piece, and that part words.
@@ -240,20 +240,15 @@ class Prefixes:
 
     def __init__(self, budget: int):
         self.budget, self.groups = budget, 0
-        #: for each number of words: heavy prefixes as rows of symbols, their counts, first group, groups
-        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        #: for each number of words: heavy prefixes as rows of symbols, first group, groups
+        self.levels: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
-    def add(self, prefixes: np.ndarray, counts: np.ndarray, light: np.ndarray) -> None:
+    def add(self, prefixes: np.ndarray, light: np.ndarray) -> None:
         """``light``: suffixes below each prefix that are not below a longer heavy one."""
         dealt = np.maximum(1, -(-2 * np.maximum(light, 0) // self.budget))
         first = self.groups + np.cumsum(dealt) - dealt
         self.groups += int(dealt.sum())
-        self.levels.append((prefixes, counts, first, dealt))
-
-    def known(self) -> Iterator[tuple[list[int], int]]:
-        """The heavy prefixes of several words, with their counts."""
-        for prefixes, counts, _, _ in self.levels[2:]:
-            yield from zip(prefixes.tolist(), counts.tolist(), strict=True)
+        self.levels.append((prefixes, first, dealt))
 
     @staticmethod
     def find(prefixes: np.ndarray, cols: list[np.ndarray]) -> np.ndarray:
@@ -279,7 +274,7 @@ class Prefixes:
     def of(self, cols: list[np.ndarray]) -> np.ndarray:
         """The group of each suffix."""
         group = np.zeros(len(cols[0]), np.int64)
-        for depth, (prefixes, _, first, count) in enumerate(self.levels):
+        for depth, (prefixes, first, count) in enumerate(self.levels):
             at = self.find(prefixes, cols)
             rows = np.flatnonzero(at >= 0)
             spread = mix(cols[depth][rows].astype(np.uint64) + np.uint64(_BASE)) % count[at[rows]].astype(np.uint64)
@@ -287,29 +282,35 @@ class Prefixes:
         return group
 
 
-def _prefix_counts(kind: str, prefixes: np.ndarray):
-    """Counts of the prefixes that are one word longer than the given ones."""
+def _prefix_counts(kind: str, prefixes: np.ndarray, share: float):
+    """Counts of the prefixes one word longer than the given ones, where they are frequent.
+
+    A block leaves out those below ``share`` of its suffixes. The blocks that do so hold less
+    than that share of all suffixes that begin with one, so that the sums of a prefix with
+    twice the share are more than half of its count, and a block has few rows.
+    """
     depth = prefixes.shape[1] + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for raw in batch.column(0).to_pylist():
                 cols = _suffixes(np.frombuffer(raw, kind))
+                least = share * len(cols[0])
                 chosen = (Prefixes.find(prefixes, cols) >= 0) & (cols[depth - 1] != 0)
                 found, n = _leaves([c[chosen] for c in cols[:depth]], None)
-                made = [*(c.astype(np.int64) for c in found), n]
+                made = [*(c[n >= least].astype(np.int64) for c in found), n[n >= least]]
                 yield pa.record_batch([pa.array(x) for x in made], [*KEY[:depth], "n"])
 
     return run
 
 
 def _divide(blocks: DataFrame, kind: str, words: DataFrame, listed: np.ndarray | None, budget: int) -> Prefixes:
-    """Heavy prefixes of growing length, each counted over all suffixes."""
-    made, heavy = Prefixes(budget), F.col("n") > budget // 4
+    """Heavy prefixes of growing length: all with over a quarter of the budget, and none below an eighth."""
+    made = Prefixes(budget)
     counted = words if listed is None else words.filter(F.col("n") >= LEAST)
     total = counted.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     above, counts = np.zeros((1, 0), np.int64), np.array([total], np.int64)
-    found = words.filter(heavy).select("symbol", "n").toArrow()
+    found = words.filter(F.col("n") > budget // 4).select("symbol", "n").toArrow()
     rows, n = found.column("symbol").to_numpy().reshape(-1, 1), found.column("n").to_numpy()
     if listed is not None:
         rows = np.searchsorted(listed, rows) + 1
@@ -317,17 +318,18 @@ def _divide(blocks: DataFrame, kind: str, words: DataFrame, listed: np.ndarray |
         light = counts.copy()
         if len(rows):
             np.subtract.at(light, Prefixes.find(above, list(rows.T)), n)
-        made.add(above, counts, light)
+        made.add(above, light)
         above, counts = rows, n
         if not len(rows) or depth == LONGEST - 1:
             break
         names = KEY[: depth + 1]
-        longer = blocks.mapInArrow(_prefix_counts(kind, above), ", ".join(f"{k} long" for k in [*names, "n"]))
-        kept = longer.groupBy(*names).agg(F.sum("n").alias("n")).filter(heavy).toArrow()
+        run = _prefix_counts(kind, above, budget / 8 / max(1, total))
+        longer = blocks.mapInArrow(run, ", ".join(f"{k} long" for k in [*names, "n"]))
+        kept = longer.groupBy(*names).agg(F.sum("n").alias("n")).filter(F.col("n") > budget // 8).toArrow()
         rows = np.array([kept.column(k).to_numpy() for k in names], np.int64).reshape(depth + 1, -1).T
         n = kept.column("n").to_numpy()
     if len(above):
-        made.add(above, counts, counts)
+        made.add(above, counts)
     return made
 
 
@@ -350,7 +352,7 @@ def _to_groups(kind: str, prefixes: Prefixes):
 
 
 def _subtree(kind: str, prefixes: Prefixes, least: int):
-    """Phrases of one group: nodes of two to four words whose leaves' total reaches ``least``."""
+    """Phrases of one group: nodes of two to four words whose leaves' total reaches ``least``, and heavy prefixes."""
 
     def run(table: pa.Table) -> pa.Table:
         joined = lambda name, k: np.frombuffer(b"".join(table.column(name).to_pylist()), k)
@@ -365,12 +367,12 @@ def _subtree(kind: str, prefixes: Prefixes, least: int):
                 continue
             first = np.flatnonzero(fresh)
             n = np.add.reduceat(totals, first)
-            kept = (n >= least) & (column[first] != 0)
-            first, n = first[kept], n[kept]
+            kept = n >= least
             if depth < len(prefixes.levels):
-                # a heavy prefix lies in several groups; its count is known
-                light = Prefixes.find(prefixes.levels[depth][0], [c[first] for c in cols]) < 0
-                first, n = first[light], n[light]
+                # a heavy prefix lies in several groups, whose counts are summed later
+                kept |= Prefixes.find(prefixes.levels[depth][0], [c[first] for c in cols]) >= 0
+            kept &= column[first] != 0
+            first, n = first[kept], n[kept]
             for i in range(LONGEST):
                 out[i].append(cols[i][first].astype(np.int64) if i < depth else np.zeros(len(first), np.int64))
             out[LONGEST].append(np.full(len(first), depth, np.int32))
@@ -415,9 +417,7 @@ def counted_phrases(docs: DataFrame, least: int = LEAST, budget: int = BUDGET, v
     dealt = blocks.mapInArrow(_to_groups(kind, prefixes), "group long, " + ", ".join(f"{k} binary" for k in [*KEY, "n"]))
     schema = ", ".join(f"{k} long" for k in KEY) + ", depth int, f long"
     counted = dealt.groupBy("group").applyInArrow(_subtree(kind, prefixes, least), schema)
-    rows = [(*h, *[0] * (LONGEST - len(h)), len(h), n) for h, n in prefixes.known() if n >= least]
-    if rows:
-        counted = counted.union(spark.createDataFrame(rows, schema))
+    counted = counted.groupBy(*KEY, "depth").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
     if listed is not None:
         counted = counted.mapInArrow(_named(shared), schema)
     single = common.select(F.col("symbol").alias("s0"), *(F.lit(0).cast("long").alias(k) for k in KEY[1:]), F.lit(1).alias("depth"), F.col("n").alias("f"))
