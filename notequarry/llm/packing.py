@@ -13,17 +13,18 @@ fit no other, it ends at several nodes.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from notequarry.llm.common import columns, text_bytes
+from notequarry.llm.common import columns
 from notequarry.session import materialise
 
 CAPACITY = 4096
@@ -36,21 +37,24 @@ BRANCHES = 8
 LEAST_GAIN = 0.02
 #: Share of the capacity from which a bin leaves, in the first, second and later rounds.
 NEARLY_FULL = (0.99, 0.95, 0.85)
-#: Words a tokenizer remembers, and half the word parts; beyond them it starts anew.
-REMEMBERED = 300_000
+#: Word parts a tokenizer remembers; beyond them it starts anew.
+REMEMBERED = 1_000_000
+#: Bytes of text that are looked up together; a longer text is taken whole.
+SLICE = 8 << 20
 #: Words of letters that lower-casing and composition treat one by one, with signs after them.
 #: The splitting pattern parts the two, and both are looked up by themselves.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ň]+)([.,!?;:*#$%&|)(\"]*)")
+PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-įĲ-ň]+)(?P<signs>[.,!?;:*#$%&|)(\"]*)$"
 MARK = "#"
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
 
 
 class WordTokenizer:
-    """Ids of whole texts by the tokenizers library, with the words seen lately remembered.
+    """Ids of whole texts by the tokenizers library, with the word parts seen lately remembered.
 
     The vocabulary's splitting pattern drops white space and looks at no context across it,
-    so the ids of a text are those of its words, one after another.
+    so the ids of a text are those of its words, one after another. Only the distinct parts
+    of many texts' words are looked up; all else is arrays.
     """
 
     def __init__(self, path: str):
@@ -58,41 +62,62 @@ class WordTokenizer:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
-        self.parts: dict[str, bytes] = {"": b""}
         self.mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids[0]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = set().union(*split).difference(self.known)
-        if len(self.known) + len(fresh) > REMEMBERED:
-            self.known = {"": b""}
-            fresh = set().union(*split).difference(self.known)
-        halves = {w: (m[1].lower(), m[2]) if (m := PLAIN.fullmatch(w)) else (w,) for w in fresh}
-        self._learn({x for parts in halves.values() for x in parts})
-        for word, parts in halves.items():
-            self.known[word] = b"".join([self.parts[x] for x in parts])
-        known = self.known
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
-
-    def _learn(self, wanted: set[str]) -> None:
-        """Ids of words not met before; many of them share a call, told apart by a sign between."""
+        self._forget()
+
+    def _forget(self) -> None:
+        #: number of each part, and the ids of part i at start[i] to start[i] + size[i]
+        self.parts: dict[bytes, int] = {b"": 0}
+        self.start, self.size, self.flat = np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(0, np.uint32)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another, and where each text's begin and end."""
+        split = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        words = split.flatten().dictionary_encode()
+        number = self._numbers(words.dictionary)[words.indices.to_numpy()].ravel()
+        size = self.size[number]
+        ends = np.cumsum(size)
+        total = int(ends[-1]) if len(ends) else 0
+        ids = self.flat[np.arange(total) + np.repeat(self.start[number] - ends + size, size)]
+        # two parts a word, and as many words a text as its list is long
+        last = 2 * np.cumsum(np.append(0, np.diff(split.offsets.to_numpy())))
+        return ids, np.append(0, ends)[last]
+
+    def _numbers(self, words: pa.Array) -> np.ndarray:
+        """Numbers of the two parts of each word; a word that is not plain is one part."""
+        plain = pc.extract_regex(words, PLAIN)
+        first = pc.coalesce(pc.utf8_lower(pc.struct_field(plain, "letters")), words)
+        both = pa.concat_arrays([first, pc.fill_null(pc.struct_field(plain, "signs"), "")]).dictionary_encode()
+        wanted = both.dictionary.cast(pa.binary()).to_pylist()
         new = [x for x in wanted if x not in self.parts]
-        if len(self.parts) + len(new) > 2 * REMEMBERED:
-            self.parts = {"": b""}
+        if len(self.parts) + len(new) > REMEMBERED:
+            self._forget()
             new = [x for x in wanted if x]
-        joined = [x for x in new if MARK not in x and "<" not in x]
-        lines = [joined[at : at + 50] for at in range(0, len(joined), 50)]
-        made = self.tokenizer.encode_batch_fast([f" {MARK} ".join(x) for x in lines], add_special_tokens=False)
-        for words, found in zip(lines, made, strict=True):
-            ids, start = np.array(found.ids, "<u4"), 0
-            raw, cuts = ids.tobytes(), (4 * np.flatnonzero(ids == self.mark)).tolist()
-            for word, cut in zip(words, [*cuts, len(raw)], strict=True):
-                self.parts[word] = raw[start:cut]
-                start = cut + 4
-        for word in set(new).difference(joined):
-            ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-            self.parts[word] = np.array(ids, "<u4").tobytes()
+        self._learn(new)
+        number = np.fromiter(map(self.parts.__getitem__, wanted), np.int64, len(wanted))
+        return number[both.indices.to_numpy()].reshape(2, -1).T
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Ids of parts not met before; many of them share a call, told apart by a sign between."""
+        joined = [x for x in new if MARK.encode() not in x and b"<" not in x]
+        lines = [b" ".join(x) for x in self._lines(joined)]
+        made = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in lines], add_special_tokens=False)
+        ids = np.fromiter(chain.from_iterable(x.ids for x in made), np.uint32)
+        # every part is followed by the sign
+        ends = np.flatnonzero(ids == self.mark)
+        size = np.diff(ends, prepend=-1) - 1
+        others = [x for x in new if MARK.encode() in x or b"<" in x]
+        found = [np.array(self.tokenizer.encode(x.decode("utf-8", "replace"), add_special_tokens=False).ids, np.uint32) for x in others]
+        self.parts.update(zip(joined + others, range(len(self.parts), len(self.parts) + len(new)), strict=True))
+        sizes = np.concatenate([size, np.array([len(x) for x in found], np.int64)])
+        starts = len(self.flat) + np.concatenate([ends - size, len(ids) + np.cumsum([0, *map(len, found)])[:-1]]).astype(np.int64)
+        self.start, self.size = np.concatenate([self.start, starts]), np.concatenate([self.size, sizes])
+        self.flat = np.concatenate([self.flat, ids, *found])
+
+    @staticmethod
+    def _lines(parts: list[bytes]) -> Iterator[list[bytes]]:
+        for at in range(0, len(parts), 50):
+            yield [x for part in parts[at : at + 50] for x in (part, MARK.encode())]
 
 
 def tokenizer(path: str) -> WordTokenizer:
@@ -101,6 +126,16 @@ def tokenizer(path: str) -> WordTokenizer:
     return _TOKENIZERS[path]
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about SLICE bytes of text, one row at least."""
+    size = np.array(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False), np.int64)
+    at = 0
+    while at < batch.num_rows:
+        n = max(1, int(np.searchsorted(np.cumsum(size[at:]), SLICE, "right")))
+        yield batch.slice(at, n)
+        at += n
+
+
 def pieces(
     docs: DataFrame,
     tokenizer_path: str,
@@ -115,22 +150,26 @@ def pieces(
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(tokenizer_path)
-        end = np.array([end_id], "<u4")
-        for batch in rows:
-            texts = text_bytes(batch.column(1))
-            for a in range(0, len(texts), 200):
-                found = own.encode([x.decode("utf-8", "replace") for x in texts[a : a + 200]])
-                out = [[] for _ in names]
-                for i, ids in enumerate(found):
-                    ids = np.concatenate([ids, end])
-                    for piece, start in enumerate(range(0, len(ids), capacity)):
-                        part = ids[start : start + capacity]
-                        values = (a + i, piece, start, len(part), zlib.crc32(part.tobytes()), part)
-                        for column, value in zip(out, values, strict=False):
-                            column.append(value)
-                kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()))
-                made = [pa.array(x, k) for x, k in zip(out[1:], kinds, strict=False)]
-                yield pa.record_batch([batch.column(0).take(pa.array(out[0], pa.int64())), *made], names)
+        for batch in (x for whole in rows for x in _slices(whole)):
+            found, bounds = own.encode(batch.column(1))
+            ends = bounds[1:] + np.arange(1, batch.num_rows + 1)
+            ids = np.full(int(ends[-1]), end_id, "<u4")
+            ids[np.arange(len(found)) + np.repeat(np.arange(batch.num_rows), np.diff(bounds))] = found
+            # the pieces of all documents, in order
+            size = np.diff(ends, prepend=0)
+            count = -(-size // capacity)
+            owner = np.repeat(np.arange(batch.num_rows), count)
+            piece = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+            start = piece * capacity
+            length = np.minimum(capacity, size[owner] - start)
+            first = ends[owner] - size[owner] + start
+            raw = memoryview(ids).cast("B")
+            sums = [zlib.crc32(raw[4 * a : 4 * (a + n)]) for a, n in zip(first.tolist(), length.tolist(), strict=True)]
+            made = [pa.array(x, k) for x, k in ((piece, pa.int32()), (start, pa.int64()), (length, pa.int64()), (sums, pa.int64()))]
+            if with_ids:
+                lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(length)).astype(np.int32), ids.astype(np.int64))
+                made.append(lists)
+            yield pa.record_batch([batch.column(0).take(pa.array(owner)), *made], names)
 
     narrow = columns(docs, doc_id=id_col, text=text_col)
     kind = narrow.schema["doc_id"].dataType.simpleString()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,8 +26,9 @@ from notequarry.llm import (
 )
 from notequarry.llm.common import table
 
-#: Folder of the public vocabulary files; the operators take the path of a file.
-VOCABULARIES = "/opt/tokenizers"
+#: Public vocabulary files; the operators take the path of a file.
+WORDS, PIECES = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+VOCABULARIES = os.path.dirname(WORDS)
 #: Key of the surrogates of these queries; a real run brings its own secret.
 SURROGATE_KEY = "corpus surrogates, change for real data"
 
@@ -108,7 +111,7 @@ def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/word_bpe_49k.json")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), WORDS)
 
 
 @query
@@ -118,7 +121,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_encoding.encode_digests(table(spark, sf_dir, "documents"), f"{VOCABULARIES}/piece_bpe_32k.model")
+    return piece_encoding.encode_digests(table(spark, sf_dir, "documents"), PIECES)
 
 
 @query

@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
@@ -33,6 +34,11 @@ def test_pieces_are_those_of_the_library():
     assert [own.model.decode(x).decode() for x in expected] == library.decode(expected)
 
 
+def ids_of(tokenizer, texts):
+    ids, bounds = tokenizer.encode(pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def test_known_words_are_forgotten_without_harm(monkeypatch):
     monkeypatch.setattr(piece_encoding, "REMEMBERED", 20)
     monkeypatch.setattr(packing, "REMEMBERED", 20)
@@ -41,7 +47,8 @@ def test_known_words_are_forgotten_without_harm(monkeypatch):
     library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     assert [own.encode([t])[0].tolist() for t in texts] == library.encode(texts, add_eos=True)
     words, tokenizer = packing.WordTokenizer(WORDS), Tokenizer.from_file(WORDS)
-    assert [words.encode([t])[0].tolist() for t in texts] == [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [ids_of(words, [t])[0] for t in texts] == expected
 
 
 def test_encoding_query_rows(spark):
@@ -61,7 +68,9 @@ def test_encoding_query_rows(spark):
 def test_words_are_those_of_the_tokenizer():
     texts = odd_texts("abET'sll #.,!\n\té1<|&ŉ×", 1500)
     expected = [e.ids for e in Tokenizer.from_file(WORDS).encode_batch(texts, add_special_tokens=False)]
-    assert [x.tolist() for x in packing.WordTokenizer(WORDS).encode(texts)] == expected
+    own = packing.WordTokenizer(WORDS)
+    assert ids_of(own, texts) == expected and ids_of(own, texts[::-1]) == expected[::-1]
+    assert ids_of(own, [None, "", "a"])[:2] == [[], []] and ids_of(own, []) == []
 
 
 def test_best_fit_places_everything_once():
