@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from notequarry.catalog import fixtures as X
 from notequarry.catalog.registry import pick, query
 from notequarry.catalog.sql import literal, listed, statement
-from notequarry.functions import times
+from notequarry.functions import intervals, times
 from notequarry.operators import consume, structure, temporal
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable
@@ -237,13 +237,20 @@ NOTE_RELATIONS = (
 )
 
 
+#: Composed expressions of these notes, one for each remainder of the event's number.
+COMPOSED = (
+    "the day before last Tuesday", "January last year", "the week of March 6", "early 2024", "end of March",
+    "winter of 1994", "this week", "October 11", "last summer", "two weeks after yesterday",
+)
+
+
 def event_notes(spark, sf):
     """A short note per event, with its type, a relative phrase, a date and a clock time."""
     ts = F.col("ts")
     body = F.concat(
         F.lit("Noted "), "event_type", F.lit(" "), at(NOTE_PHRASES, number()), F.lit(" "), relative_phrase(),
         F.lit(". Seen on "), F.date_format(ts, "MMMM d, yyyy"), F.lit(" at "), F.date_format(ts, "HH:mm"),
-        F.lit(" , then "), "event_type", F.lit("s every week.\nThe "), "event_type", F.lit(" has no phrase."),
+        F.lit(" , then "), "event_type", F.lit("s every week.\nThe "), "event_type", F.lit(" has no phrase. Began "), at(COMPOSED, number()), F.lit("."),
     )
     notes = events(spark, sf).select(number().alias("doc_id"), F.lit(1).alias("part"), body.alias("text"), ts.alias("anchor"))
     return X.dealt_out(notes)
@@ -256,12 +263,13 @@ EVENT_NOTES = {
             WHEN 3 THEN 'last ' || {_AMOUNT} WHEN 4 THEN 'the next ' || {_AMOUNT} WHEN 5 THEN {_AMOUNT} || ' ago'
             ELSE {_AMOUNT} || ' earlier' END
         || '. Seen on ' || strftime(ts, '%B %-d, %Y') || ' at ' || strftime(ts, '%H:%M') || ' , then ' || event_type
-        || 's every week.' || chr(10) || 'The ' || event_type || ' has no phrase.' AS text FROM events""",
+        || 's every week.' || chr(10) || 'The ' || event_type || ' has no phrase. Began ' || {sql_at(list(COMPOSED), 'event_id')} || '.' AS text FROM events""",
 }
 #: Words of these notes that no calendar gives.
 NOTE_WORDS = (
     ("Adjuster", "last"), ("Adjuster", "next"), ("Adjuster", "ago"), ("Frequency", "every"), ("Time", "yesterday"),
-    ("Time", "today"), ("Time", "tomorrow"), ("TimeReference", "already"),
+    ("Time", "today"), ("Time", "tomorrow"), ("TimeReference", "already"), ("Modifier", "early"), ("Modifier", "end"),
+    ("SeasonOfYear", "winter"), ("SeasonOfYear", "summer"),
 )
 CLASS_OF = {w: c for c, w in (*calendar_words(), *NOTE_WORDS)}
 TIME_WORDS = {
@@ -289,6 +297,8 @@ TIME_RUNS = {
     "time_letters": rf"""SELECT doc_id, part, sent_id, string_agg(CASE
         WHEN regexp_full_match(text, '[0-9]{{1,2}}/[0-9]{{1,2}}/[0-9]{{2,4}}') THEN 'D'
         WHEN regexp_full_match(text, '[0-9]{{1,2}}:[0-9]{{2}}') THEN 'C' WHEN text = ',' THEN ','
+        WHEN lower(text) IN ('before', 'after') THEN 'b' WHEN lower(text) IN ('of', 'in') THEN 'i'
+        WHEN lower(text) IN ('this', 'that', 'current') THEN 'h'
         WHEN token_type = 'Num' AND time_class IS NULL AND regexp_full_match(text, '(1[0-9]|20|21)[0-9][0-9]') THEN 'y'
         WHEN token_type = 'Num' AND time_class IS NULL THEN 'n' {_LETTERS} ELSE 'o' END, '' ORDER BY tok_idx) AS letters
         FROM tokens LEFT JOIN time_words ON time_word = lower(text) GROUP BY doc_id, part, sent_id""",
@@ -298,7 +308,7 @@ TIME_RUNS = {
             (SELECT doc_id, part, sent_id, regexp_extract_all(letters, {literal(temporal.TIME_RUN)}) AS m FROM time_letters))""",
     "time_spans": f"""SELECT r.doc_id, r.part, r.sent_id, r.tok_end - length(run) + 1 AS tok_start, r.tok_end,
         a."begin", b."end", run, CASE WHEN run IN ('C', 't') THEN 'TIME' WHEN run LIKE 'f%' THEN 'SET'
-            WHEN run LIKE '%u%' THEN 'DURATION' ELSE 'DATE' END AS time_kind
+            WHEN run SIMILAR TO '.*[behi].*' OR run IN ('mau', 'wau', 'sau') THEN 'DATE' WHEN run LIKE '%u%' THEN 'DURATION' ELSE 'DATE' END AS time_kind
         FROM time_runs r
         JOIN tokens a ON a.doc_id = r.doc_id AND a.part = r.part AND a.sent_id = r.sent_id AND a.tok_idx = r.tok_end - length(run) + 1
         JOIN tokens b ON b.doc_id = r.doc_id AND b.part = r.part AND b.sent_id = r.sent_id AND b.tok_idx = r.tok_end
@@ -306,20 +316,72 @@ TIME_RUNS = {
 }
 
 
+#: The composed expressions again, as dates from the event's own time.
+_TUESDAY = "(day - CAST((isodow(ts) + 4) % 7 + 1 AS INTEGER))"
+_COMPOSED_SPANS = (
+    (f"{_TUESDAY} - INTERVAL 1 DAY", _TUESDAY, None),
+    ("date_trunc('year', ts) - INTERVAL 1 YEAR", "date_trunc('year', ts) - INTERVAL 11 MONTH", None),
+    ("date_trunc('week', march_6)", "date_trunc('week', march_6) + INTERVAL 7 DAY", None),
+    ("DATE '2024-01-01'", "DATE '2025-01-01'", "START"),
+    ("march", "march + INTERVAL 1 MONTH", "END"),
+    ("DATE '1994-12-01'", "DATE '1995-03-01'", None),
+    ("date_trunc('week', ts)", "date_trunc('week', ts) + INTERVAL 7 DAY", None),
+    ("october_11", "october_11 + INTERVAL 1 DAY", None),
+    ("summer", "summer + INTERVAL 3 MONTH", None),
+    ("week_after", "week_after + INTERVAL 14 DAY", None),
+)
+
+
+def composed_column(i: int) -> str:
+    shown_as = (lambda x: "NULL" if x is None else literal(x)) if i == 2 else (lambda x: f"CAST({x} AS TIMESTAMP)")
+    return "CASE event_id % 10 " + " ".join(f"WHEN {k} THEN {shown_as(c[i])}" for k, c in enumerate(_COMPOSED_SPANS)) + " END"
+
+
+COMPOSED_VALUES = {
+    "dated": """SELECT event_id, ts, CAST(date_trunc('day', ts) AS DATE) AS day,
+        make_date(year(ts) - CASE WHEN month(ts) >= 3 THEN 0 ELSE 1 END, 3, 1) AS march,
+        make_date(year(ts) - CASE WHEN month(ts) * 100 + day(ts) >= 306 THEN 0 ELSE 1 END, 3, 6) AS march_6,
+        make_date(year(ts) - CASE WHEN month(ts) * 100 + day(ts) >= 1011 THEN 0 ELSE 1 END, 10, 11) AS october_11,
+        make_date(year(ts) - CASE WHEN month(ts) >= 9 THEN 0 ELSE 1 END, 6, 1) AS summer,
+        date_trunc('week', ts - INTERVAL 1 DAY) + INTERVAL 7 DAY AS week_after FROM events""",
+    "composed_spans": f"""SELECT event_id, {composed_column(0)} AS s, {composed_column(1)} AS e,
+        {composed_column(2)} AS modifier FROM dated""",
+}
+
+
+@query(
+    f'SELECT event_id, {stamped("s")} AS "start", {stamped("e")} AS "end", modifier FROM composed_spans', COMPOSED_VALUES
+)
+def composed_span(spark, sf):
+    """Expressions that move, narrow or mark the value of another."""
+    phrase = F.lower(at(COMPOSED, number()))
+    rows = events(spark, sf).select("event_id", "ts", phrase.alias("phrase"))
+    valued = rows.select("event_id", intervals.composed_value(F.col("phrase"), F.col("ts")).alias("v"))
+    return valued.select(
+        "event_id", shown(F.col("v.start")).alias("start"), shown(F.col("v.end")).alias("end"), F.col("v.modifier").alias("modifier")
+    )
+
+
 TIME_VALUES = {
     **SPANS,
     **TIME_RUNS,
-    "time_values": f"""SELECT t.*, CASE WHEN run LIKE 'm%' THEN {stamped("r.day")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 1 DAY")}
+    **COMPOSED_VALUES,
+    "time_values": f"""SELECT t.* EXCLUDE (run), CASE WHEN last THEN {stamped("c.s")}
+            WHEN run LIKE 'm%' THEN {stamped("r.day")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 1 DAY")}
             WHEN run IN ('t', 'anu', 'nua') THEN {stamped("r.s")} END AS value_start,
-        CASE WHEN run LIKE 'm%' THEN {stamped("r.day + INTERVAL 1 DAY")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 2 DAY")}
-            WHEN run IN ('t', 'anu', 'nua') THEN {stamped("r.e")} END AS value_end
-        FROM time_spans t JOIN (SELECT s.event_id, s.s, s.e, d.day FROM relative_spans s JOIN relative d ON d.event_id = s.event_id) r
-        ON r.event_id = t.doc_id""",
+        CASE WHEN last THEN {stamped("c.e")}
+            WHEN run LIKE 'm%' THEN {stamped("r.day + INTERVAL 1 DAY")} WHEN run = 'au' THEN {stamped("r.day + INTERVAL 2 DAY")}
+            WHEN run IN ('t', 'anu', 'nua') THEN {stamped("r.e")} END AS value_end,
+        CASE WHEN last THEN c.modifier END AS value_modifier
+        FROM (SELECT *, sent_id = max(sent_id) OVER (PARTITION BY doc_id) AS last FROM time_spans) t
+        JOIN (SELECT s.event_id, s.s, s.e, d.day FROM relative_spans s JOIN relative d ON d.event_id = s.event_id) r
+        ON r.event_id = t.doc_id JOIN composed_spans c ON c.event_id = t.doc_id""",
 }
 
 
 @query(
-    pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i time_kind value_start value_end", "time_values"), TIME_VALUES
+    pick("doc_id part sent_id:i tok_start:i tok_end:i begin:i end:i time_kind value_start value_end value_modifier", "time_values"),
+    TIME_VALUES,
 )
 def time_mentions(spark, sf):
     keys = ("doc_id", "part", "anchor")

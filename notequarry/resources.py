@@ -128,6 +128,21 @@ def number_words() -> list[tuple[str, int]]:
     return words
 
 
+#: First month of each season, three months long.
+SEASONS = (("spring", 3), ("summer", 6), ("fall", 9), ("autumn", 9), ("winter", 12))
+#: First hour of each part of a day, times 100, and its hours.
+DAY_PARTS = (("morning", 606), ("afternoon", 1206), ("evening", 1806), ("night", 2010))
+#: Years of a century at which a decade begins.
+DECADES = tuple((w.removesuffix("y") + "ies", n) for w, n in TENS)
+#: What a word before or after a time expression says about it.
+MODIFIERS = (
+    ("early", "START"), ("earlier in", "START"), ("start of", "START"), ("beginning of", "START"), ("mid", "MID"),
+    ("middle of", "MID"), ("late", "END"), ("later in", "END"), ("end of", "END"), ("about", "APPROX"),
+    ("around", "APPROX"), ("almost", "APPROX"), ("nearly", "APPROX"), ("part of", "APPROX"),
+    ("or later", "ON_OR_AFTER"), ("and beyond", "ON_OR_AFTER"), ("or earlier", "ON_OR_BEFORE"), ("and before", "ON_OR_BEFORE"),
+)
+
+
 def calendar_words() -> list[tuple[str, str]]:
     """(class, word) rows that follow from the calendar; all other classes are input lists."""
     rows = [("Number", word) for word, _ in (*ONES, *TEENS, *TENS)]
