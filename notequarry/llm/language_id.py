@@ -182,16 +182,31 @@ def identify(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text
     return narrow.mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text is in a language, with all their columns."""
-    at, held = docs.columns.index(text_col), docs.sparkSession.sparkContext.broadcast(model)
+def keep_identified(
+    docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_col: str = "lang", least: float = 0.0
+) -> DataFrame:
+    """The rows of ``docs`` whose text is in a language, with ``lang_col`` as predicted.
+
+    - Rows whose prediction is ``und`` go: null and empty texts, texts without a letter, and
+      all rows if the model has no language. So do those whose certainty is below ``least``.
+    - Repeated rows are judged alike; all other columns are kept as they are, whatever their
+      names. An empty table gives no rows.
+    """
+    at, own_lang = docs.columns.index(text_col), docs.columns.index(lang_col)
+    held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = held.value
         for batch in rows:
             texts = [x.decode("utf-8", "replace") for x in text_bytes(batch.column(at))]
-            found = [lang for a, b in slices(texts) for lang in named(own, texts[a:b])[0]]
-            yield batch.filter(pa.array([x != UNKNOWN for x in found], pa.bool_()))
+            lang, score = [], []
+            for a, b in slices(texts):
+                names, sure = named(own, texts[a:b])
+                lang += names
+                score += sure
+            kept = [x != UNKNOWN and s >= least for x, s in zip(lang, score, strict=True)]
+            made = [pa.array(lang, pa.string()) if i == own_lang else c for i, c in enumerate(batch.columns)]
+            yield pa.record_batch(made, batch.schema.names).filter(pa.array(kept, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 

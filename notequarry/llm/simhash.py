@@ -310,10 +310,12 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
         return batches(rows, make)
 
-    rooted = _rooted(materialise(fingerprints(docs, id_col, text_col), "prints"), limit)
+    # the rows with their prints are stored, so that no text is read twice for them
+    wide = docs.filter(F.col(id_col).isNotNull()).mapInArrow(marked, T.StructType([*docs.schema.fields, T.StructField("__print", T.LongType())]))
+    wide = materialise(wide, "printed")
+    rooted = _rooted(columns(wide, doc_id=id_col, print="__print"), limit)
     leader = F.min(F.struct("lowest", "print")).alias("leader")
     led = rooted.filter(F.col("lowest").isNotNull()).groupBy("root").agg(leader)
     kept = led.select(F.col("leader.lowest").alias(id_col), F.col("leader.print").alias("__print"))
-    wide = docs.filter(F.col(id_col).isNotNull()).mapInArrow(marked, T.StructType([*docs.schema.fields, T.StructField("__print", T.LongType())]))
     named = wide.join(kept, [id_col, "__print"], "left_semi").dropDuplicates([id_col, "__print"]).select(*docs.columns)
     return named.union(docs.filter(F.col(id_col).isNull()))

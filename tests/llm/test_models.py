@@ -121,6 +121,12 @@ def test_language_edge_cases(spark):
     kept = language_id.keep_identified(docs, language_id.fit(language_id.learnable(docs)))
     assert kept.columns == docs.columns
     assert kept.count() == len(rows) - 3
+    named = {r.doc_id: r.lang for r in kept.collect()}
+    assert (named[53], named[54], named[0], named[39]) == ("en", "de", "en", "de")
+    nothing = language_id.fit(language_id.learnable(docs.limit(0)))
+    assert language_id.keep_identified(docs, nothing).count() == 0
+    sure = language_id.keep_identified(docs, language_id.fit(language_id.learnable(docs)), least=0.9).collect()
+    assert {r.doc_id for r in sure} == {i for i, (_, s) in got.items() if s >= 0.9}
     unlearnt = language_id.language_id(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in unlearnt.collect()} == {"und"}
     assert language_id.language_id(docs.limit(0)).count() == 0
