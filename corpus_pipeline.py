@@ -10,12 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from notequarry.llm import exact_dedup, language_id, packing, pii, simhash
-from notequarry.llm.queries import SURROGATE_KEY, VOCABULARIES
+from notequarry.llm.queries import SURROGATE_KEY, WORDS
 from notequarry.session import scratch_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in no language (null, or without a letter) go."""
+    """Documents in no language go; ``lang`` is the predicted language of the others.
+
+    No language is predicted for null and empty texts, texts without a letter, and where no
+    document with a language could be learnt from. Repeated rows are judged alike.
+    """
     return language_id.keep_identified(docs, language_id.fit(language_id.learnable(docs)))
 
 
@@ -38,7 +42,7 @@ def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of sequences of 4096 tokens."""
-    return packing.pack_documents(docs, f"{VOCABULARIES}/word_bpe_49k.json")
+    return packing.pack_documents(docs, WORDS)
 
 
 STAGES = [
