@@ -206,6 +206,17 @@ def extract_to_table(spark, sf):
     return listed_spans(spark.read.schema(f"{sinks.RESULT_COLUMNS}, loaded STRING").parquet(path))
 
 
+@query(
+    """SELECT count(*) AS n_rows, count(*) FILTER (parsed) AS n_parsed, count(*) FILTER (NOT parsed) AS n_failed
+       FROM results""",
+    RESULT,
+)
+def observed_counts(spark, sf):
+    """Counts taken while the extraction is written, as a row."""
+    counts = jobs.extract_to_table(raw_parts(spark, sf), settings(spark, sf), scratch_path(spark, "counted"), "202601010930")
+    return spark.createDataFrame([(counts["n_rows"], counts["n_parsed"], counts["n_failed"])], "n_rows long, n_parsed long, n_failed long")
+
+
 @query(RESULTS, RESULT)
 def extract_to_files(spark, sf):
     path = scratch_path(spark, "extracted-files")

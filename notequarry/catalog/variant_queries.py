@@ -195,66 +195,83 @@ def _parsed_rules(text: str):
 INFLECTION_RULES = """
 RULE: Ch$|noun|singular|Cion$|noun|plural
 RULE: VC$|noun|singular|VCnd$|noun|plural
-RULE: CVC$|verb|infinitive|CVSCer$|verb|past
-RULE: $|noun|singular|er$|noun|plural
-EXCEPTION: th|ther;
-EXCEPTION: |er;
+RULE: CVC$|verb|infinitive|CVSCan$|verb|past
+RULE: $|noun|singular|ou$|noun|plural
+EXCEPTION: th|thou;
+EXCEPTION: |ou;
 RULE: th$|noun|singular|tion$|noun|plural
 RULE: ou$|verb|infinitive|re$|verb|past
 EXCEPTION: ou|re;
 RULE: CVC$|adj|positive|CVSCes$|adj|comparative
-RULE: $|verb|infinitive|ing$|verb|presPart
-RULE: e$|adj|positive|est$|adj|superlative
+RULE: $|verb|infinitive|ti$|verb|presPart
+RULE: e$|adj|positive|ere$|adj|superlative
+RULE: eLC$|noun|singular|eLCaL$|noun|plural
+RULE: VntV$|verb|infinitive|VVntV$|verb|past
+RULE: LhL$|adj|positive|LLeL$|adj|comparative
+RULE: ^CVC$|noun|singular|CVCVC$|noun|plural
+RULE: BVtG$|verb|infinitive|GVtB$|verb|past
 """.strip()
 DERIVATION_RULES = """
-RULE: tion$|noun|base|ble$|adj|base
+RULE: tion$|noun|base|ha$|adj|base
 RULE: er$|noun|base|$|verb|base
 EXCEPTION: er|;
-RULE: Cha$|noun|base|Cly$|adv|base
-RULE: nd$|verb|base|nt$|adj|base
+RULE: Cha$|noun|base|Cre$|adv|base
+RULE: nd$|verb|base|er$|adj|base
+RULE: LCe$|noun|base|CeLL$|adj|base
+RULE: V$|noun|base|C$|verb|base
 """.strip()
 
-_CLASS = {"C": "[bcdfghjklmnpqrstvwxyz]", "V": "[aeiou]"}
+_CLASS = {"C": "[bcdfghjklmnpqrstvwxyz]", "V": "[aeiou]", "L": "[a-z]", "D": "[0-9]"}
 
 
-def _halves(pattern: str):
-    classes = "".join(c for c in pattern if c.isupper())
-    return classes, pattern[len(classes):]
+def _class_of(symbol: str) -> str:
+    return "V" if symbol in "AEIOUV" else "L" if symbol in "LS" else symbol if symbol == "D" else "C"
 
 
 def rule_sql(text: str, file: str, reverse: bool) -> str:
-    """One SELECT per rule over ``lower_words``: the rule spelled out as a pattern."""
+    """One SELECT per rule over ``lower_words``: each letter of the suffix is tested by itself."""
     selects = []
     for number, in_pattern, in_cat, out_pattern, out_cat, out_infl, exceptions in _parsed_rules(text):
-        classes, in_tail = _halves(in_pattern)
-        out_classes, out_tail = _halves(out_pattern)
-        doubled = "S" in out_classes
-        ends = "".join(_CLASS[c] for c in classes)
-        rule_id = f"{file}:{number:05d}"
-        if reverse:
-            tail, made_tail, extra = out_tail, in_tail, int(doubled)
-        else:
-            tail, made_tail, extra = in_tail, out_tail, 0
-        stem = f"left(word, length(word) - {len(tail) + extra})"
-        made = f"{stem} || {literal(made_tail)}"
-        if doubled and not reverse:
-            made = f"{stem} || right({stem}, 1) || {literal(made_tail)}"
-        tests = [f"right(word, {len(tail)}) = {literal(tail)}" if tail else "true"]
-        if reverse:
-            if doubled:
-                n = len(tail)
-                tests.append(f"word[length(word) - {n}] = word[length(word) - {n + 1}]")
-        if ends:
-            tests.append(f"regexp_matches({stem}, '{ends}\\z')")
-        tests.append(f"length({made}) > 0")
-        pair = f"({made}) || '|' || word" if reverse else f"word || '|' || ({made})"
+        match, make = (out_pattern, in_pattern) if reverse else (in_pattern, out_pattern)
+        anchored, match, make = match.startswith("^"), match.lstrip("^"), make.lstrip("^")
+        n = len(match)
+        at = lambda j, n=n: f"word[length(word) - {n - 1 - j}]"
+        tests = [f"length(word) {'=' if anchored else '>='} {n}"]
+        seen: dict[str, list[int]] = {}
+        for j, symbol in enumerate(match):
+            if not symbol.isupper():
+                tests.append(f"{at(j)} = {literal(symbol)}")
+                continue
+            tests.append(f"regexp_full_match({at(j)}, '{_CLASS[_class_of(symbol)]}')")
+            if symbol == "S":
+                tests.append(f"{at(j)} = {at(j + 1)}")
+                continue
+            held = seen.setdefault(symbol, [])
+            if held and len(held) >= make.count(symbol) > 0:
+                tests.append(f"{at(j)} = {at(held[make.count(symbol) - 1])}")
+            held.append(j)
+        made, met, readable = [f"left(word, length(word) - {n})"], {}, True
+        for i, symbol in enumerate(make):
+            if not symbol.isupper():
+                made.append(literal(symbol))
+                continue
+            name = make[i + 1] if symbol == "S" else symbol
+            nth = met.get(name, 0) + 1
+            if symbol != "S":
+                met[name] = nth
+            readable &= name in seen
+            if readable:
+                made.append(at(seen[name][min(nth, len(seen[name])) - 1]))
+        if not readable:
+            continue
+        formed = " || ".join(made)
+        tests.append(f"length({formed}) > 0")
+        pair = f"({formed}) || '|' || word" if reverse else f"word || '|' || ({formed})"
         if exceptions:
             tests.append(f"({pair}) NOT IN ({listed(exceptions)})")
-        size = len(classes) + len(tail) + extra
-        category = in_cat if reverse else out_cat
         selects.append(
-            f"SELECT word, {made} AS made, '{rule_id}' AS rule_id, {size} AS suffix_length, "
-            f"'{category}' AS category, '{out_infl}' AS inflection FROM lower_words WHERE {' AND '.join(tests)}"
+            f"SELECT word, {formed} AS made, '{file}:{number:05d}' AS rule_id, {n} AS suffix_length, "
+            f"'{in_cat if reverse else out_cat}' AS category, '{out_infl}' AS inflection FROM lower_words WHERE {' AND '.join(tests)}"
         )
     return " UNION ALL ".join(selects)
 

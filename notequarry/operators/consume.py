@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from notequarry.functions.codes import negation_prefix
@@ -105,11 +105,21 @@ def doc_output(results: DataFrame, key: str, output: Column) -> DataFrame:
     return results.select(F.col(key), output.alias("output"))
 
 
+def _counts() -> list[Column]:
+    failed = F.coalesce(F.sum(F.when(F.col("parsed"), F.lit(0)).otherwise(F.lit(1))), F.lit(0))
+    every = F.count(F.lit(1))
+    return [every.alias("n_rows"), (every - failed).alias("n_parsed"), failed.alias("n_failed")]
+
+
 def processed_counts(results: DataFrame) -> DataFrame:
     """Rows processed, parsed and failed."""
-    failed = F.when(F.col("parsed"), F.lit(0)).otherwise(F.lit(1))
-    return results.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        (F.count(F.lit(1)) - F.coalesce(F.sum(failed), F.lit(0))).alias("n_parsed"),
-        F.coalesce(F.sum(failed), F.lit(0)).alias("n_failed"),
-    )
+    return results.agg(*_counts())
+
+
+def observed_counts(results: DataFrame) -> tuple[Observation, DataFrame]:
+    """The counts of ``processed_counts``, taken while the rows pass on to whatever writes them.
+
+    The observation has them once that action is over; the rows are not read a second time.
+    """
+    seen = Observation("processed counts")
+    return seen, results.observe(seen, *_counts())

@@ -100,64 +100,129 @@ def lexicon_relations(words: DataFrame, lexicon: LookupTable, relation: str) ->
 # ----------------------------------------------------------------------- rules
 
 
-def expand_rules(rules: DataFrame) -> DataFrame:
-    """Split the patterns of rules into anchor, letter classes and literal tail."""
-    shape = r"\A(\^?)([A-Z]*)([^$]*)\$\z"
-    classes_out = F.regexp_extract("out_pattern", shape, 2)
-    return rules.select(
-        "rule_id",
-        "in_cat",
-        "in_infl",
-        "out_cat",
-        "out_infl",
-        (F.regexp_extract("in_pattern", shape, 1) == "^").alias("anchored"),
-        F.regexp_extract("in_pattern", shape, 2).alias("classes"),
-        F.regexp_extract("in_pattern", shape, 3).alias("in_tail"),
-        F.regexp_extract("out_pattern", shape, 3).alias("out_tail"),
-        F.contains(classes_out, F.lit("S")).alias("doubled"),
-        "exceptions",
+#: What an upper-case letter of a pattern stands for: any vowel or letter or digit, the letter
+#: that follows it once more, or, for all others, any consonant.
+VOWELS, ANY, DIGIT, DOUBLE = "AEIOUV", "L", "D", "S"
+
+
+def _class(symbol: Column) -> Column:
+    """The class an upper-case letter of a pattern stands for; other symbols as they are."""
+    vowel = F.contains(F.lit(VOWELS), symbol)
+    return (
+        F.when(symbol.isin(ANY, DOUBLE), F.lit(ANY))
+        .when(symbol == DIGIT, F.lit(DIGIT))
+        .when(vowel, F.lit("V"))
+        .when(symbol.rlike(r"\A[A-Z]\z"), F.lit("C"))
+        .otherwise(symbol)
     )
 
 
-def _shape(text: Column) -> Column:
-    return F.translate(F.lower(text), _LETTERS, _SHAPES)
+def _symbols(pattern: str) -> Column:
+    """The symbols of a pattern without its anchors."""
+    return F.regexp_extract_all(F.regexp_replace(pattern, r"\A\^|\$\z", ""), F.lit("(?s)."), F.lit(0))
 
 
-def _classes_fit(stem: Column) -> Column:
-    n = F.length("classes")
-    ends = F.right(_shape(stem), n)
-    letter = (F.col("classes") == "L") & ends.isin("C", "V")
-    fits = (n == 0) | (ends == F.col("classes")) | letter
-    return fits & (~F.col("anchored") | (F.length(stem) == n))
+def _nth(symbols: Column, i: Column) -> Column:
+    """How often the symbol at ``i`` has stood there up to that place."""
+    return F.size(F.filter(F.slice(symbols, F.lit(1), i + 1), lambda c: c == F.get(symbols, i)))
 
 
-def _probe(words: DataFrame, rules: DataFrame, tail: str) -> DataFrame:
-    """Words under each of their endings, joined to the rules with that literal tail."""
-    table = LookupTable.stored(expand_rules(rules))
-    longest = table.frame.agg(F.max(F.length(tail)).alias("n")).first()["n"] or 0
-    sizes = F.sequence(F.lit(0), F.least(F.lit(int(longest)), F.length("word")))
-    endings = words.select("word", F.explode(sizes).alias("n")).select(
-        "word", "n", F.right("word", F.col("n")).alias("ending")
+def _captured(symbols: Column, letter: Column, n: Column) -> Column:
+    """Place of the ``n``-th of a letter among the symbols, the last one if there are fewer."""
+    places = F.filter(
+        F.sequence(F.lit(0), F.greatest(F.size(symbols) - 1, F.lit(0))), lambda j: F.get(symbols, j) == letter
     )
-    joined = table.join(endings, {"ending": tail}, "inner")
-    return joined.withColumn("stem", F.left("word", F.length("word") - F.col("n")))
+    return F.get(places, F.least(n, F.size(places)) - 1)
+
+
+def expand_rules(rules: DataFrame, match: str, make: str) -> DataFrame:
+    """Rules read from the pattern ``match`` to the pattern ``make``, ready to be joined to words.
+
+    ``mask`` and ``key``: the symbols of the matched suffix with literals as points, and with
+    classes for letters. ``same``: pairs of places whose letters must be equal, as a letter
+    that the other side has less often is one letter. ``made``: what the suffix becomes, each
+    a literal or the place of a captured letter. A rule that makes a letter it has not
+    captured cannot be read in this direction.
+    """
+    inside = rules.select(
+        "rule_id", "in_cat", "in_infl", "out_cat", "out_infl", "exceptions",
+        F.startswith(F.col(match), F.lit("^")).alias("anchored"),
+        _symbols(match).alias("_p"),
+        _symbols(make).alias("_q"),
+    )
+    upper = lambda c: c.rlike(r"\A[A-Z]\z")
+    places = lambda name: F.when(F.size(name) > 0, F.sequence(F.lit(0), F.size(name) - 1)).otherwise(
+        F.array().cast("array<int>")
+    )
+
+    def made(i: Column) -> Column:
+        # a doubled letter is the one after it
+        at = F.when(F.get(F.col("_q"), i) == DOUBLE, i + 1).otherwise(i)
+        letter = F.get(F.col("_q"), at)
+        place = F.when(upper(letter), _captured(F.col("_p"), letter, _nth(F.col("_q"), at)))
+        return F.struct(F.when(~upper(letter), letter).alias("letter"), place.alias("at"))
+
+    def same(j: Column) -> Column:
+        letter = F.get(F.col("_p"), j)
+        others = F.size(F.filter("_q", lambda c: c == letter))
+        first = F.when(letter == DOUBLE, j + 1).when(
+            upper(letter) & (others > 0) & (_nth(F.col("_p"), j) > others), _captured(F.col("_p"), letter, others)
+        )
+        return F.struct(j.alias("a"), first.alias("b"))
+
+    return (
+        inside.withColumn("size", F.size("_p"))
+        .withColumn("mask", F.array_join(F.transform("_p", lambda c: F.when(upper(c), _class(c)).otherwise(F.lit("."))), ""))
+        .withColumn("key", F.array_join(F.transform("_p", _class), ""))
+        .withColumn("same", F.filter(F.transform(places("_p"), same), lambda x: x["b"].isNotNull()))
+        .withColumn("made", F.transform(places("_q"), made))
+        .filter(~F.exists("made", lambda x: x["letter"].isNull() & x["at"].isNull()))
+        .drop("_p", "_q")
+    )
+
+
+def _masked(mask: str) -> Column:
+    """The end of a word as long as the mask: letters at its points, classes elsewhere."""
+    pieces = []
+    for place, symbol in enumerate(mask):
+        back = place - len(mask)
+        letter, shape = f"substring(word, {back}, 1)", f"substring(_shape, {back}, 1)"
+        any_letter = f"CASE WHEN {shape} IN ('C', 'V') THEN 'L' END"
+        pieces.append(letter if symbol == "." else any_letter if symbol == ANY else f"CASE WHEN {shape} = '{symbol}' THEN '{symbol}' END")
+    joined = f"concat({', '.join(pieces)})" if pieces else "''"
+    return F.expr(f"CASE WHEN length(word) >= {len(mask)} THEN {joined} END")
+
+
+def _applied(words: DataFrame, rules: DataFrame, match: str, make: str) -> DataFrame:
+    """(word, made_word, rule) for every word and rule whose suffix it has.
+
+    Each word meets the rules by its endings, one for every mask the rules have: their
+    classes stand for letters, so that the join is one of equal keys.
+    """
+    table = LookupTable.prepare(expand_rules(rules, match, make), "rules")
+    # as many masks as there are shapes of patterns, however many words there are
+    masks = sorted(r["mask"] for r in table.frame.select("mask").distinct().collect())
+    endings = F.array(*(F.struct(F.lit(m).alias("mask"), _masked(m).alias("key")) for m in masks)) if masks else F.array()
+    shaped = words.select("word", F.translate(F.lower("word"), _LETTERS, _SHAPES).alias("_shape"))
+    if not masks:
+        endings = F.array().cast("array<struct<mask:string,key:string>>")
+    probes = shaped.select("word", F.explode(endings).alias("_end")).filter(F.col("_end.key").isNotNull()).select(
+        "word", F.col("_end.mask").alias("_mask"), F.col("_end.key").alias("_key")
+    )
+    joined = table.join(probes, {"_mask": "mask", "_key": "key"}, "inner")
+    before = F.length("word") - F.col("size")
+    letter = lambda at: F.substring(F.col("word"), before + at + 1, F.lit(1))
+    fits = F.forall("same", lambda x: letter(x["a"]) == letter(x["b"])) & (~F.col("anchored") | (before == 0))
+    ending = F.array_join(F.transform("made", lambda x: F.coalesce(x["letter"], letter(x["at"]))), "")
+    return joined.filter(fits).withColumn("made_word", F.concat(F.left("word", before), ending))
 
 
 def uninflect_candidates(words: DataFrame, rules: DataFrame) -> DataFrame:
     """Every base a rule gives for a word, read from output to input suffix."""
-    probes = _probe(words, rules, "out_tail")
-    last = F.right("stem", F.lit(1))
-    twice = F.right("stem", F.lit(2)) == F.concat(last, last)
-    single = F.when(F.col("doubled"), F.left("stem", F.length("stem") - 1)).otherwise(F.col("stem"))
-    fitted = probes.filter(~F.col("doubled") | twice).withColumn("stem", single)
-    fitted = fitted.filter(_classes_fit(F.col("stem"))).withColumn(
-        "base", F.concat("stem", "in_tail")
-    )
-    pair = F.concat_ws("|", "base", "word")
-    allowed = (F.length("base") > 0) & ~F.array_contains("exceptions", pair)
-    size = F.length("classes") + F.col("n") + F.col("doubled").cast("int")
-    return fitted.filter(allowed).select(
-        "word", "base", "rule_id", size.alias("suffix_length"), F.col("in_cat").alias("category")
+    found = _applied(words, rules, "out_pattern", "in_pattern").withColumnRenamed("made_word", "base")
+    allowed = (F.length("base") > 0) & ~F.array_contains("exceptions", F.concat_ws("|", "base", "word"))
+    return found.filter(allowed).select(
+        "word", "base", "rule_id", F.col("size").alias("suffix_length"), F.col("in_cat").alias("category")
     )
 
 
@@ -170,12 +235,8 @@ def uninflect_by_rule(words: DataFrame, rules: DataFrame) -> DataFrame:
 
 def inflect_by_rule(words: DataFrame, rules: DataFrame) -> DataFrame:
     """All forms the rules give for a base."""
-    probes = _probe(words, rules, "in_tail").filter(_classes_fit(F.col("stem")))
-    last = F.right("stem", F.lit(1))
-    made = F.concat(F.col("stem"), F.when(F.col("doubled"), last).otherwise(F.lit("")), F.col("out_tail"))
-    formed = probes.withColumn("form", made)
-    pair = F.concat_ws("|", "word", "form")
-    allowed = (F.length("form") > 0) & ~F.array_contains("exceptions", pair)
+    formed = _applied(words, rules, "in_pattern", "out_pattern").withColumnRenamed("made_word", "form")
+    allowed = (F.length("form") > 0) & ~F.array_contains("exceptions", F.concat_ws("|", "word", "form"))
     return formed.filter(allowed).select(
         "word", "form", "rule_id", F.col("out_cat").alias("category"), F.col("out_infl").alias("inflection")
     )

@@ -12,6 +12,7 @@ from notequarry.functions.codes import negation_prefix
 from notequarry.functions.keys import parse_keys, part_key_compose, result_envelope
 from notequarry.functions.text import form_feed_to_space, legal_char_scrub
 from notequarry.operators import KEYS
+from notequarry.operators.consume import observed_counts
 from notequarry.operators.context import NEGATION, UNCERTAINTY, Cues, negation_scope, uncertainty_scope
 from notequarry.operators.dictionary import concept_enrich, find_terms
 from notequarry.operators.parts import split_to_parts
@@ -179,16 +180,23 @@ def extract(parts: DataFrame, settings: Settings) -> DataFrame:
 
 def extract_to_table(
     parts: DataFrame, settings: Settings, path: str, loaded: str, template: DataFrame | None = None
-) -> None:
-    """Extract, take the shape of the template table, append under ``loaded``."""
-    rows = extract(parts, settings)
+) -> dict[str, int]:
+    """Extract, take the shape of the template table, append under ``loaded``.
+
+    Returns n_rows, n_parsed and n_failed of the rows written, observed while they are.
+    """
+    seen, rows = observed_counts(extract(parts, settings))
     if template is not None:
         rows = union_template(template, rows)
     partitioned_append(rows.drop("loaded"), path, loaded)
+    return seen.get
 
 
-def extract_to_files(parts: DataFrame, settings: Settings, path: str) -> None:
-    delimited(extract(parts, settings), path)
+def extract_to_files(parts: DataFrame, settings: Settings, path: str) -> dict[str, int]:
+    """Extract and write delimited files; returns the counts as ``extract_to_table`` does."""
+    seen, rows = observed_counts(extract(parts, settings))
+    delimited(rows, path)
+    return seen.get
 
 
 def lookup_only(parts: DataFrame, settings: Settings, keys: Sequence[str] = KEYS) -> DataFrame:
