@@ -17,7 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,11 +38,15 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(script|style|noscript|template|textarea|select|svg|math|iframe|object|canvas|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"
     r"|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)",
+    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:=\s*\"[^\"]*\"|=\s*'[^']*'|[^>])*)(?:>|\Z)",
     re.S | re.I,
 )
-_NAMED = re.compile(r"(?<![\w-])(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?false)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_HIDING = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
+#: Tags whose name inside the main text says what they are about, unless a whole class is meant.
+_TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p ul ol li dl dt dd table tr td th pre blockquote figure figcaption caption".split())
+#: Steps in the tree beyond which blocks count as infinitely far from each other.
+FARTHEST = 60
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr".split()
@@ -68,36 +72,64 @@ _MAIN_WORDS = frozenset("article articlebody content entry post story mainconten
 
 
 @dataclass
-class Block:
-    """A text block: its text, path of open tags, and counts."""
+class Open:
+    """An element: its tag, the one around it, and what its tag and names say."""
 
-    text: str
-    path: tuple[int, ...]
     tag: str
-    linked: int
-    main: bool = False
+    parent: Open | None = None
+    depth: int = 0
     rest: bool = False
+    main: bool = False
     named_main: bool = False
+    #: whether ``rest`` comes from names or a form alone
+    weak: bool = False
+    #: characters of tagged text below
+    inside: int = 0
+    #: of the element or those around it: main, named main, rest, strong rest, header, and
+    #: whether a main tag stands below the last rest
+    any_main: bool = False
+    any_named: bool = False
+    any_rest: bool = False
+    any_strong: bool = False
+    any_header: bool = False
+    main_after: bool = False
+
+    def inherit(self) -> None:
+        """Sums up the elements around, which must have done so before."""
+        up = self.parent
+        self.any_main = self.main or up is not None and up.any_main
+        self.any_named = self.named_main or up is not None and up.any_named
+        self.any_rest = self.rest or up is not None and up.any_rest
+        self.any_strong = self.rest and not self.weak or up is not None and up.any_strong
+        self.any_header = self.tag == "header" or up is not None and up.any_header
+        self.main_after = not self.rest and (self.tag == "main" or up is not None and up.main_after)
 
 
 @dataclass
-class Open:
-    tag: str
-    number: int
-    rest: bool = False
+class Block:
+    """A text block: its text, the element it stands in, and counts."""
+
+    text: str
+    element: Open
+    linked: int
     main: bool = False
+    rest: bool = False
     named_main: bool = False
-    #: whether ``rest`` comes from names or a form alone
-    weak: bool = False
+
+    @property
+    def tag(self) -> str:
+        return self.element.tag
 
 
 def blocks_of(page: str) -> list[Block]:
     """Text blocks in page order; scripts, styles, comments of the markup and the title are no text."""
-    stack: list[Open] = []
-    opened_by: dict[int, Open] = {}
+    root = Open("")
+    stack: list[Open] = [root]
+    every: list[Open] = [root]
+    open_tags: Counter[str] = Counter()
     found: list[Block] = []
     held: list[str] = []
-    linked = links = number = 0
+    linked = links = 0
     at = 0
 
     def flush() -> None:
@@ -105,9 +137,14 @@ def blocks_of(page: str) -> list[Block]:
         text = " ".join(html.unescape("".join(held)).split())
         held.clear()
         if text:
-            found.append(Block(text, tuple(x.number for x in stack), stack[-1].tag if stack else "", linked))
+            found.append(Block(text, stack[-1], linked))
         linked = 0
 
+    def close() -> str:
+        tag = stack.pop().tag
+        open_tags[tag] -= 1
+        return tag
+
     for m in _TOKEN.finditer(page):
         if m.start() > at:
             piece = page[at : m.start()]
@@ -126,9 +163,9 @@ def blocks_of(page: str) -> list[Block]:
                 links = max(0, links + (-1 if m[2] else 1))
             continue
         if m[2]:
-            if any(x.tag == tag for x in stack):
+            if open_tags[tag]:
                 flush()
-                while stack.pop().tag != tag:
+                while close() != tag:
                     pass
                 links = 0
             continue
@@ -136,65 +173,86 @@ def blocks_of(page: str) -> list[Block]:
         if tag in _VOID:
             continue
         links = 0
-        if tag in _CLOSERS and stack and stack[-1].tag == "p":
-            stack.pop()
-        while stack and stack[-1].tag in _ENDS.get(tag, ()):
-            stack.pop()
-        number += 1
-        opened = Open(tag, number, tag in _REST, tag in _MAIN, weak=tag in _WRAPPERS)
-        if m[4] and ("=" in m[4] or "hidden" in m[4].lower()):
-            words = frozenset(w for x in _NAMED.findall(m[4]) for w in re.split(r"[^a-z0-9]+", _spread("".join(x)).lower()))
+        if tag in _CLOSERS and stack[-1].tag == "p":
+            close()
+        while stack[-1].tag in _ENDS.get(tag, ()):
+            close()
+        up = stack[-1]
+        opened = Open(tag, up, up.depth + 1, tag in _REST, tag in _MAIN, weak=tag in _WRAPPERS)
+        if m[4]:
+            words, hidden = _said(tag, m[4], up.any_main)
             opened.named_main = bool(words & _MAIN_WORDS)
             # names of main, and of an article that is called a post too, say what stands beside it
             own = tag == "main" or tag == "article" and opened.named_main
             if tag not in ("html", "body") and not own and words & _REST_WORDS:
                 opened.weak |= not opened.rest
                 opened.rest = True
-            if tag not in ("html", "body") and _HIDDEN.search(m[4]):
+            if tag not in ("html", "body") and hidden:
                 opened.rest, opened.weak = True, False
-        opened_by[number] = opened
+        opened.inherit()
+        every.append(opened)
         stack.append(opened)
+        open_tags[tag] += 1
     held.append(page[at:])
     flush()
-    _settle(found, opened_by)
+    _settle(found, every)
     return found
 
 
-def _settle(blocks: list[Block], opened_by: dict[int, Open]) -> None:
+def _said(tag: str, attributes: str, inside_main: bool) -> tuple[frozenset[str], bool]:
+    """The words of an element's names, and whether its attributes hide it.
+
+    An id of a heading is made from its words, and says nothing; nor does one of the text's
+    own tags inside the main text, where only a whole class is a name.
+    """
+    words, hidden = set(), False
+    for name, *value in _ATTRIBUTE.findall(attributes):
+        name, text = name.lower(), "".join(value)
+        if name in ("class", "id", "role", "itemprop"):
+            if tag in _TEXTUAL and (inside_main or name == "id"):
+                words.update(text.lower().split() if name != "id" else ())
+            else:
+                words.update(re.split(r"[^a-z0-9]+", _spread(text).lower()))
+        hidden |= name == "hidden" and text.lower() != "false" or name == "aria-hidden" and text.lower() == "true"
+        hidden |= name == "style" and bool(_HIDING.search(text))
+    return frozenset(words), hidden
+
+
+def _settle(blocks: list[Block], every: list[Open]) -> None:
     """Says which blocks are main text or the rest by the tags around them.
 
     A form or a name such as has-sidebar is no sign against a container of most of the main
-    text, where hardly any of that would be left otherwise.
+    text, where hardly any of that would be left otherwise. ``every`` has the elements with
+    those around them first, so what holds for a path is handed down once.
     """
-    paths = [[opened_by[n] for n in b.path] for b in blocks]
-    for b, path in zip(blocks, paths, strict=True):
-        b.named_main = any(x.named_main for x in path)
-    tagged = [b.named_main or any(x.main for x in path) for b, path in zip(blocks, paths, strict=True)]
+    for b in blocks:
+        b.named_main = b.element.any_named
+    tagged = [b.named_main or b.element.any_main for b in blocks]
     if not any(tagged):
         tagged = [True] * len(blocks)
     size = left = 0
-    held: dict[int, int] = {}
-    for b, path, counts in zip(blocks, paths, tagged, strict=True):
+    for b, counts in zip(blocks, tagged, strict=True):
         if counts:
             size += len(b.text)
-            if not any(x.rest for x in path):
-                left += len(b.text)
-            for x in path:
-                if x.weak:
-                    held[x.number] = held.get(x.number, 0) + len(b.text)
+            left += 0 if b.element.any_rest else len(b.text)
+            b.element.inside += len(b.text)
+    for x in reversed(every):
+        if x.parent is not None:
+            x.parent.inside += x.inside
     if 50 * left < size:
-        for n, inside in held.items():
-            if 2 * inside > size or opened_by[n].main:
-                opened_by[n].rest = False
-    for b, path in zip(blocks, paths, strict=True):
-        main = [i for i, x in enumerate(path) if x.main]
-        rest = [i for i, x in enumerate(path) if x.rest]
+        for x in every:
+            if x.weak and x.inside and (2 * x.inside > size or x.main):
+                x.rest = False
+        for x in every:
+            x.inherit()
+    for b in blocks:
+        x = b.element
         # main inside a container that only a name calls the rest is main; so is a header inside the article
-        if rest and not any(path[i].tag == "main" and i > rest[-1] and all(path[j].weak for j in rest) for i in main):
+        if x.any_rest and not (x.main_after and not x.any_strong):
             b.rest = True
-        elif not main:
-            b.rest = any(x.tag == "header" for x in path)
-        b.main = bool(main) and not b.rest
+        elif not x.any_main:
+            b.rest = x.any_header
+        b.main = x.any_main and not b.rest
 
 
 def _spread(name: str) -> str:
@@ -277,82 +335,98 @@ def evidence(blocks: list[Block], weights: np.ndarray) -> list[float]:
     return found
 
 
-def distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
-    """Steps between two places in the document tree."""
-    same = 0
-    for x, y in zip(a, b, strict=False):
-        if x != y:
-            break
-        same += 1
-    return len(a) + len(b) - 2 * same
+def distance(a: Open, b: Open) -> int:
+    """Steps between two elements of the tree, up to FARTHEST."""
+    steps = 0
+    while a is not b and steps < FARTHEST:
+        if a.depth >= b.depth:
+            a = a.parent
+        else:
+            b = b.parent
+        steps += 1
+    return steps
 
 
 def min_cut(odds: list[float], edges: dict[tuple[int, int], float]) -> list[bool]:
     """Which nodes stay with the source in a minimum cut.
 
-    ``odds`` above 0 is capacity from the source, below 0 capacity to the sink.
+    ``odds`` above 0 is capacity from the source, below 0 capacity to the sink. Flows are
+    blocked level by level: each round sends all it can along shortest paths.
     """
     n = len(odds)
     source, sink = n, n + 1
-    room: list[dict[int, float]] = [{} for _ in range(n + 2)]
+    to: list[int] = []
+    room: list[float] = []
+    out: list[list[int]] = [[] for _ in range(n + 2)]
+
+    def join(a: int, b: int, there: float, back: float) -> None:
+        for x, y, capacity in ((a, b, there), (b, a, back)):
+            out[x].append(len(to))
+            to.append(y)
+            room.append(capacity)
+
     for i, x in enumerate(odds):
-        a, b, capacity = (source, i, x) if x > 0 else (i, sink, -x)
-        if capacity:
-            room[a][b] = capacity
-            room[b].setdefault(a, 0.0)
+        if x > 0:
+            join(source, i, x, 0.0)
+        elif x < 0:
+            join(i, sink, -x, 0.0)
     for (a, b), capacity in edges.items():
-        room[a][b] = room[a].get(b, 0.0) + capacity
-        room[b][a] = room[b].get(a, 0.0) + capacity
+        join(a, b, capacity, capacity)
     while True:
-        came = {source: source}
+        level = [-1] * (n + 2)
+        level[source] = 0
         queue = deque([source])
-        while queue and sink not in came:
+        while queue:
             a = queue.popleft()
-            for b, left in room[a].items():
-                if left > 1e-9 and b not in came:
-                    came[b] = a
-                    queue.append(b)
-        if sink not in came:
-            return [i in came for i in range(n)]
-        path, b = [], sink
-        while b != source:
-            path.append((came[b], b))
-            b = came[b]
-        flow = min(room[a][b] for a, b in path)
-        for a, b in path:
-            room[a][b] -= flow
-            room[b][a] += flow
+            for e in out[a]:
+                if room[e] > 1e-9 and level[to[e]] < 0:
+                    level[to[e]] = level[a] + 1
+                    queue.append(to[e])
+        if level[sink] < 0:
+            return [level[i] >= 0 for i in range(n)]
+        following = [0] * (n + 2)
+        path: list[int] = []
+        at = source
+        while True:
+            if at == sink:
+                flow = min(room[e] for e in path)
+                first = 0
+                for k in range(len(path) - 1, -1, -1):
+                    room[path[k]] -= flow
+                    room[path[k] ^ 1] += flow
+                    if room[path[k]] <= 1e-9:
+                        first = k
+                at = to[path[first] ^ 1]
+                del path[first:]
+                continue
+            while following[at] < len(out[at]):
+                e = out[at][following[at]]
+                if room[e] > 1e-9 and level[to[e]] == level[at] + 1:
+                    path.append(e)
+                    at = to[e]
+                    break
+                following[at] += 1
+            else:
+                if at == source:
+                    break
+                e = path.pop()
+                at = to[e ^ 1]
+                following[at] += 1
 
 
 def label(blocks: list[Block], weights: np.ndarray) -> list[bool]:
-    """True for blocks of the main text.
-
-    Neighbouring blocks under one parent that lean the same way are one node of the graph.
-    """
-    odds = evidence(blocks, weights)
-    nodes: list[list[int]] = []
-    for i, x in enumerate(blocks):
-        last = nodes[-1][-1] if nodes else None
-        same = last is not None and blocks[last].path[:-1] == x.path[:-1] and (odds[last] > 0) == (odds[i] > 0)
-        if same:
-            nodes[-1].append(i)
-        else:
-            nodes.append([i])
-    by_parent: dict[tuple[int, ...], int] = {}
+    """True for blocks of the main text: every block is a node, tied to the one before it
+    and to the one before it under the same element."""
     edges: dict[tuple[int, int], float] = {}
-    for n, members in enumerate(nodes):
-        path = blocks[members[0]].path
-        for m in {n - 1, by_parent.get(path[:-1], -1)}:
+    by_parent: dict[int, int] = {}
+    for n, x in enumerate(blocks):
+        parent = id(x.element.parent)
+        for m in {n - 1, by_parent.get(parent, -1)}:
             if m >= 0:
-                far = max(0, distance(blocks[nodes[m][-1]].path, path) - 2)
-                edges[m, n] = edges.get((m, n), 0.0) + TIE * FALL**far
-        by_parent[path[:-1]] = n
-    kept = min_cut([sum(odds[i] for i in members) for members in nodes], edges)
-    out = [False] * len(blocks)
-    for n, members in enumerate(nodes):
-        for i in members:
-            out[i] = kept[n]
-    return out
+                far = max(0, distance(blocks[m].element, x.element) - 2)
+                edges[m, n] = TIE * FALL**far
+        by_parent[parent] = n
+    return min_cut(evidence(blocks, weights), edges)
 
 
 def main_text(page: str, weights: np.ndarray = PLAIN) -> str:

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -312,3 +313,37 @@ def test_pipeline_stages(spark):
 def test_pipeline_of_nothing(spark, tmp_path):
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+PARAGRAPH = "<p>A first paragraph of some length, with a comma and a full stop.</p>"
+
+
+@pytest.mark.parametrize(
+    "page,expected",
+    [
+        ('<article style="overflow:hidden"><p>Text one.</p></article>', "Text one."),
+        ('<article class="overflow-hidden"><p>Text one.</p></article>', "Text one."),
+        ('<article data-hidden-on="phone"><p>Text one.</p></article>', "Text one."),
+        ("<article><p hidden>No.</p><p>Yes.</p><p style='color:red;display: none'>No.</p></article>", "Yes."),
+        ('<article><h2 id="search">A</h2><h2 id="discussion">B</h2><p class="skip-none">C</p></article>', "A B C"),
+        ('<article><ul class="search-tips"><li>D</li></ul><div class="ad">Buy.</div><p class="ad">Buy.</p></article>', "D"),
+        ("<article><p title=don't>Hello</p><p>it's here</p></article>", "Hello it's here"),
+        ("<article><p title='a > b'>Hello</p><a href=x'y>z</a></article>", "Hello z"),
+    ],
+)
+def test_attributes_of_main_text(page, expected):
+    assert html_main.main_text(page) == expected
+
+
+def test_deep_and_long_pages_take_linear_time():
+    began = time.time()
+    html_main.main_text("<div>x" * 50_000)
+    html_main.main_text((PARAGRAPH + "<p><a href=x>a link</a></p>") * 5_000)
+    html_main.main_text("<article>" + ("<div>" * 20 + PARAGRAPH + "</div>" * 20) * 500)
+    assert time.time() - began < 30
+
+
+def test_distance_in_the_tree():
+    found = html_main.blocks_of("<div><p>a</p><p>b</p></div><div><div><p>c</p></div></div>")
+    a, b, c = (x.element for x in found)
+    assert [html_main.distance(a, a), html_main.distance(a, b), html_main.distance(a, c), html_main.distance(c, b)] == [0, 2, 5, 5]
