@@ -15,7 +15,7 @@ from notequarry.session import scratch_path
 from notequarry.sinks import results as sinks
 from notequarry.sources import annotations as annotation_sources
 from notequarry.sources import files
-from notequarry.streaming.incremental import annotator_hook, incremental_extract
+from notequarry.streaming.incremental import annotator_hook, incremental_extract, read_batches
 
 PATHS = """(SELECT doc_id, text, '/notes/' || CASE WHEN doc_id % 7 = 0 THEN '.cache/' ELSE '' END || lang || '/'
     || CASE WHEN doc_id % 11 = 0 THEN '.' ELSE '' END || doc_id
@@ -224,15 +224,20 @@ def extract_to_files(spark, sf):
     return listed_spans(sinks.read_delimited(spark, path, sinks.RESULT_COLUMNS))
 
 
-@query("SELECT text || chr(10) AS text, true AS parsed FROM benchmark")
+@query(
+    """SELECT CAST(part AS VARCHAR) AS part, true AS parsed, text, coalesce(listed, '') AS annotations,
+       coalesce(cuis, '') AS cuis, '202601010000' AS loaded
+       FROM parts LEFT JOIN event_strings USING (doc_id, part) LEFT JOIN span_lists USING (doc_id, part)""",
+    RESULT,
+)
 def incremental_extract_job(spark, sf):
-    """Note files read as a stream and extracted in batches."""
+    """The notes as files, read as a stream and extracted in batches."""
     out, marks = scratch_path(spark, "stream"), scratch_path(spark, "stream-state")
     stream = incremental_extract(
-        spark, written_files(spark, sf, "benchmark"), out, marks, settings(spark, sf), lambda batch: f"20260101{batch:04d}"
+        spark, written_files(spark, sf), out, marks, settings(spark, sf), lambda batch: f"20260101{batch:04d}", X.PART_CAP
     )
     stream.awaitTermination()
-    return spark.read.parquet(out).select("text", "parsed")
+    return listed_spans(read_batches(spark, out)).drop("fname")
 
 
 @query(

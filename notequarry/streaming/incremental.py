@@ -3,14 +3,35 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notequarry.operators.consume import observed_counts
 from notequarry.plans.jobs import Settings, extract, pack_notes
 from notequarry.session import materialise
+from notequarry.sinks.results import RESULT_COLUMNS
+
+
+#: A line for every batch whose rows are all there.
+LEDGER = "run string, batch long, loaded string, folder string, n_rows long, n_parsed long, n_failed long"
+
+
+def ledger(spark: SparkSession, out: str) -> DataFrame:
+    """The batches of a stream that are complete."""
+    return spark.read.schema(LEDGER).option("recursiveFileLookup", "true").parquet(f"{out}/ledger")
+
+
+def read_batches(spark: SparkSession, out: str) -> DataFrame:
+    """Rows of the complete batches, with ``loaded``; the ledger has one line a batch."""
+    folders = [r["folder"] for r in ledger(spark, out).select("folder").collect()]
+    reader = spark.read.schema(f"{RESULT_COLUMNS}, loaded STRING")
+    if not folders:
+        return spark.createDataFrame([], f"{RESULT_COLUMNS}, loaded STRING")
+    return reader.parquet(*folders)
 
 
 def incremental_extract(
@@ -24,8 +45,10 @@ def incremental_extract(
 ):
     """Process every note file not yet seen, then stop.
 
-    A batch writes to a folder of its own, named by its time, its checkpoint and its
-    number: one that is run again after a failure replaces its own rows, and no other's.
+    A batch writes its rows to a new folder below ``out``, and then its line of the ledger,
+    with that folder and the counts observed while it was written. The line is the commit:
+    ``read_batches`` reads the folders of the ledger alone, so a batch that broke off half way
+    has no rows. One that is run again replaces its own line, and no other's.
     """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
     notes = (
@@ -38,8 +61,12 @@ def incremental_extract(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         parts = materialise(pack_notes(batch, max_size), "batch-parts")
-        folder = f"{out}/loaded={loaded(batch_id)}/batch={run}-{batch_id}"
-        extract(parts, settings).write.mode("overwrite").parquet(folder)
+        stamp, folder = loaded(batch_id), f"{out}/rows/{run}-{batch_id}-{uuid.uuid4().hex}"
+        seen, rows = observed_counts(extract(parts, settings))
+        rows.withColumn("loaded", F.lit(stamp)).write.parquet(folder)
+        line = (run, batch_id, stamp, folder, *(seen.get[n] for n in ("n_rows", "n_parsed", "n_failed")))
+        entry = spark.createDataFrame([line], LEDGER).coalesce(1)
+        entry.write.mode("overwrite").parquet(f"{out}/ledger/{run}-{batch_id}")
 
     return (
         notes.writeStream.foreachBatch(write)

@@ -17,7 +17,7 @@ from notequarry.session import job, materialise
 from notequarry.sinks.results import annotation_documents
 from notequarry.sources import annotations, files, lexicon
 from notequarry.sources import dictionary as dictionary_sources
-from notequarry.streaming.incremental import incremental_extract
+from notequarry.streaming import incremental
 
 
 def parts_of(spark, content, cap):
@@ -447,12 +447,47 @@ def test_batches_of_one_minute_keep_each_other(spark, tmp_path):
     notes.mkdir()
     for i, marks in enumerate(("one", "one", "two")):
         (notes / f"{i}.txt").write_text(f"alpha {i}")
-        run = incremental_extract(spark, str(notes), out, str(tmp_path / marks), jobs.Settings(table, concepts), lambda batch: "202601010930")
+        run = incremental.incremental_extract(spark, str(notes), out, str(tmp_path / marks), jobs.Settings(table, concepts), lambda batch: "202601010930")
         run.awaitTermination()
-    found = sorted(r.text.strip() for r in spark.read.parquet(out).collect())
+    found = sorted(r.text.strip() for r in incremental.read_batches(spark, out).collect())
     # the third run has a fresh checkpoint, so it reads all notes again beside the earlier rows
     assert found == sorted(["alpha 0", "alpha 1", "alpha 0", "alpha 1", "alpha 2"])
-    assert {r.cuis for r in spark.read.parquet(out).collect()} == {"C0000007"}
+    assert {(r.cuis, r.loaded) for r in incremental.read_batches(spark, out).collect()} == {("C0000007", "202601010930")}
+    assert sorted((r.n_rows, r.n_parsed, r.n_failed) for r in incremental.ledger(spark, out).collect()) == [(1, 1, 0), (1, 1, 0), (3, 3, 0)]
+
+
+def test_a_batch_that_breaks_off_has_no_rows(spark, tmp_path, monkeypatch):
+    table = LookupTable.fixed(spark, [(7, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(7, 100, "alpha", "drug", "RX", "9", "C0000007")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    notes, out = tmp_path / "notes", str(tmp_path / "out")
+    notes.mkdir()
+
+    def run():
+        stream = incremental.incremental_extract(
+            spark, str(notes), out, str(tmp_path / "marks"), jobs.Settings(table, concepts), lambda batch: f"20260101{batch:04d}"
+        )
+        stream.awaitTermination()
+
+    (notes / "0.txt").write_text("alpha 0")
+    run()
+    (notes / "1.txt").write_text("alpha 1")
+
+    class Broken:
+        @property
+        def get(self):
+            raise RuntimeError("lost after the rows were written")
+
+    with monkeypatch.context() as m:
+        m.setattr(incremental, "observed_counts", lambda rows: (Broken(), rows))
+        with pytest.raises(Exception, match="lost after"):
+            run()
+    assert [r.text.strip() for r in incremental.read_batches(spark, out).collect()] == ["alpha 0"]
+    run()
+    assert sorted(r.text.strip() for r in incremental.read_batches(spark, out).collect()) == ["alpha 0", "alpha 1"]
+    assert sorted(r.batch for r in incremental.ledger(spark, out).collect()) == [0, 1]
 
 
 def test_missing_root_is_an_error(spark):
