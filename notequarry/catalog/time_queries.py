@@ -229,14 +229,13 @@ def time_of_day(spark, sf):
 
 
 # ----------------------------------------------------------------- notes of events
-NOTE_PHRASES = ("after", "while", "prior to", "already", "on the next day", "still")
+NOTE_PHRASES = ("soon after", "all the while", "well ahead of", "by then", "on the next day", "still ongoing")
 #: What the phrases of these notes say; of two relations the first by name counts.
 NOTE_RELATIONS = (
-    ("after", "AFTER"), ("while", "DURING"), ("prior to", "BEFORE"), ("already", "BEFORE"), ("on the next day", "AFTER"),
-    ("still", "CONTINUING"), ("still", "DURING"), ("next", "AFTER"), ("every week", "DURING"),
+    ("soon after", "AFTER"), ("all the while", "DURING"), ("well ahead of", "BEFORE"), ("by then", "BEFORE"),
+    ("on the next day", "AFTER"), ("still ongoing", "CONTINUING"), ("still ongoing", "DURING"), ("the next", "AFTER"),
+    ("every week", "DURING"),
 )
-
-
 #: Composed expressions of these notes, one for each remainder of the event's number.
 COMPOSED = (
     "the day before last Tuesday", "January last year", "the week of March 6", "early 2024", "end of March",
@@ -268,7 +267,7 @@ EVENT_NOTES = {
 #: Words of these notes that no calendar gives.
 NOTE_WORDS = (
     ("Adjuster", "last"), ("Adjuster", "next"), ("Adjuster", "ago"), ("Frequency", "every"), ("Time", "yesterday"),
-    ("Time", "today"), ("Time", "tomorrow"), ("TimeReference", "already"), ("Modifier", "early"), ("Modifier", "end"),
+    ("Time", "today"), ("Time", "tomorrow"), ("TimeReference", "then"), ("Modifier", "early"), ("Modifier", "end"),
     ("SeasonOfYear", "winter"), ("SeasonOfYear", "summer"),
 )
 CLASS_OF = {w: c for c, w in (*calendar_words(), *NOTE_WORDS)}

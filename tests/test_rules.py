@@ -6,9 +6,9 @@ from notequarry.operators import variants
 from notequarry.sources import lexicon
 
 RULES = """
-RULE: Cy$|adj|positive|Cier$|adj|comparative
-RULE: CVC$|adj|positive|CVSCer$|adj|comparative
-RULE: e$|adj|positive|er$|adj|comparative
+RULE: Cy$|adj|positive|Ciom$|adj|comparative
+RULE: CVC$|adj|positive|CVSCom$|adj|comparative
+RULE: e$|adj|positive|om$|adj|comparative
 RULE: D$|noun|base|Dth$|adj|base
 RULE: ^CVC$|noun|singular|CVCs$|noun|plural
 RULE: LhL$|verb|infinitive|LLeL$|verb|past
@@ -30,10 +30,10 @@ def table(spark, words):
 @pytest.mark.parametrize(
     "word,forms",
     [
-        ("happy", {"happier"}),
-        ("big", {"bigger", "bigs"}),
-        ("ebig", {"ebigger"}),
-        ("wide", {"wider"}),
+        ("happy", {"happiom"}),
+        ("big", {"biggom", "bigs"}),
+        ("ebig", {"ebiggom"}),
+        ("wide", {"widom"}),
         ("4", {"4th"}),
         ("y", set()),
         ("ahb", {"abeb"}),
@@ -51,16 +51,16 @@ def test_forms(spark, rules, word, forms):
 
 
 def test_bases(spark, rules):
-    words = ["happier", "bigger", "biger", "wider", "4th", "aaeb", "abeb", "natb", "sealaa", "sealab", "bigs", "xn"]
+    words = ["happiom", "biggom", "bigom", "widom", "4th", "aaeb", "abeb", "natb", "sealaa", "sealab", "bigs", "xn"]
     got = variants.uninflect_candidates(table(spark, words), rules).collect()
     found = {w: {r.base for r in got if r.word == w} for w in words}
-    assert found["happier"] == {"happy", "happie"}
+    assert found["happiom"] == {"happy", "happie"}
     # a doubled letter is one letter, and so is one that stands twice in the form and once in the base
-    assert found["bigger"] == {"big", "bigge"} and found["biger"] == {"bige"}
+    assert found["biggom"] == {"big", "bigge"} and found["bigom"] == {"bige"}
     assert found["aaeb"] == set() and found["abeb"] == {"ahb"}
     assert found["sealaa"] == {"seal"} and found["sealab"] == set()
     assert (found["4th"], found["natb"], found["bigs"]) == ({"4"}, {"batn"}, {"big"})
-    assert found["wider"] == {"wide"} and found["xn"] == {"x"}
+    assert found["widom"] == {"wide"} and found["xn"] == {"x"}
 
 
 def test_no_rules_and_no_words(spark, rules):
