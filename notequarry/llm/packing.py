@@ -38,9 +38,9 @@ LEAST_GAIN = 0.02
 #: Share of the capacity from which a bin leaves, in the first, second and later rounds.
 NEARLY_FULL = (0.99, 0.95, 0.85)
 #: Word parts a tokenizer remembers; beyond them it starts anew.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 #: Bytes of text that are looked up together; a longer text is taken whole.
-SLICE = 8 << 20
+SLICE = 2 << 20
 #: Words of letters that lower-casing and composition treat one by one, with signs after them.
 #: The splitting pattern parts the two, and both are looked up by themselves.
 PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-įĲ-ň]+)(?P<signs>[.,!?;:*#$%&|)(\"]*)$"
@@ -170,6 +170,8 @@ def pieces(
                 lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(length)).astype(np.int32), ids.astype(np.int64))
                 made.append(lists)
             yield pa.record_batch([batch.column(0).take(pa.array(owner)), *made], names)
+        # a worker goes on to other stages, which need the memory
+        pa.default_memory_pool().release_unused()
 
     narrow = columns(docs, doc_id=id_col, text=text_col)
     kind = narrow.schema["doc_id"].dataType.simpleString()
