@@ -38,9 +38,9 @@ LEAST_GAIN = 0.02
 #: Share of the capacity from which a bin leaves, in the first, second and later rounds.
 NEARLY_FULL = (0.99, 0.95, 0.85)
 #: Word parts a tokenizer remembers; beyond them it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 #: Bytes of text that are looked up together; a longer text is taken whole.
-SLICE = 2 << 20
+SLICE = 4 << 20
 #: Words of letters that lower-casing and composition treat one by one, with signs after them.
 #: The splitting pattern parts the two, and both are looked up by themselves.
 PLAIN = r"^(?P<letters>[A-Za-zÀ-ÖØ-öø-įĲ-ň]+)(?P<signs>[.,!?;:*#$%&|)(\"]*)$"
