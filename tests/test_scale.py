@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from notequarry.catalog import io_queries
+from notequarry.functions import arrays, intervals
 from notequarry.operators import spans, structure
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable
@@ -43,3 +45,33 @@ def test_spans_are_not_sent_whole_to_the_spans_around_them(spark, parts):
         F.min("tok_idx").alias("tok_start"), F.max("tok_idx").alias("tok_end")
     )
     assert broadcasts(structure.window_frames(structure.sentence_words(sentences), windows)) == 0
+
+
+@pytest.mark.parametrize("n", [0, 1, arrays.BLOCK, arrays.BLOCK + 1, 5 * arrays.BLOCK + 3])
+def test_running_sums_in_one_block_and_more(spark, n):
+    rows = spark.createDataFrame([(list(range(n)),), (None,)], "v array<int>")
+    found = [r.s for r in rows.select(arrays.running_sum(F.col("v")).alias("s")).collect()]
+    assert found == [[i * (i + 1) // 2 for i in range(n)], None]
+
+
+def test_a_phrase_that_is_bare_is_not_looked_at_again(spark):
+    frame = spark.createDataFrame([("march",), ("end of march",), ("2024",)], "p string")
+    value = intervals.composed_value(F.col("p"), F.lit("2024-05-01").cast("timestamp"))
+    assert "bare" in str(value._jc)
+    found = frame.select("p", value.alias("v")).select("p", F.col("v.start").cast("string").alias("s"), "v.modifier")
+    assert {r.p: (r.s, r.modifier) for r in found.collect()} == {
+        "march": ("2024-03-01 00:00:00", None),
+        "end of march": ("2024-03-01 00:00:00", "END"),
+        "2024": ("2024-01-01 00:00:00", None),
+    }
+
+
+def test_note_files_lie_in_many_folders(spark, tmp_path):
+    rows = [(i, f"note {i}") for i in range(200)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    read = files.load(io_queries.written_files(spark, str(tmp_path))).select("path", F.col("content").cast("string"))
+    found = read.collect()
+    assert sorted(r.content for r in found) == sorted(f"note {i}\n" for i in range(200))
+    # beyond 32 folders Spark lists them in tasks
+    assert len({r.path.rsplit("/", 1)[0] for r in found}) > 32
