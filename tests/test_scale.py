@@ -1,13 +1,15 @@
 """What must not grow: broadcasts, folds, sorts and files of the joins and operators."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
 from notequarry.catalog import io_queries
 from notequarry.functions import arrays, intervals
-from notequarry.operators import spans, structure
+from notequarry.operators import consume, spans, structure
 from notequarry.plans import jobs
-from notequarry.plans.lookup_table import LookupTable
+from notequarry.plans.lookup_table import LookupTable, met_by_key
 
 
 def broadcasts(frame) -> int:
@@ -75,3 +77,41 @@ def test_note_files_lie_in_many_folders(spark, tmp_path):
     assert sorted(r.content for r in found) == sorted(f"note {i}\n" for i in range(200))
     # beyond 32 folders Spark lists them in tasks
     assert len({r.path.rsplit("/", 1)[0] for r in found}) > 32
+
+
+def exchanged(frame) -> list[str]:
+    mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    return [x for x in frame._jdf.queryExecution().explainString(mode).splitlines() if "- Exchange " in x]
+
+
+def test_sentences_stay_where_they_are_to_meet_their_windows_and_variants(spark, parts):
+    words = structure.sentence_words(structure.sentence_split(parts.repartition(5, "doc_id")))
+    sentences = structure.sentence_split(parts.repartition(5, "doc_id"))
+    windows = structure.tokenize(sentences).groupBy("doc_id", "part", "sent_id").agg(
+        F.min("tok_idx").alias("tok_start"), F.max("tok_idx").alias("tok_end")
+    )
+    variants = LookupTable.fixed(spark, [("apples", "apple")], "form string, canonical string")
+    for frame in (structure.window_frames(words, windows), jobs.add_variants(words, variants, structure.KEYS)):
+        assert not any("sent_id" in x for x in exchanged(frame))
+
+
+def test_rows_met_by_key_are_those_of_a_join(spark):
+    left = spark.createDataFrame([(1, 1, "a"), (1, 1, "a"), (1, 2, None), (2, None, "b"), (3, 1, "c")], "k int, s int, x string")
+    right = spark.createDataFrame([(1, 1, 5, 6), (1, 1, 5, 6), (1, 2, None, None), (2, None, 7, 8), (4, 1, 9, 9)], "k int, s int, y int, z int")
+    got = met_by_key(left, right, ["k", "s"])
+    wanted = left.join(right, ["k", "s"])
+    assert got.columns == wanted.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, wanted.collect()))
+    assert got.count() == 5
+
+
+def test_many_codes_of_a_part_in_time(spark):
+    mentions = spark.range(80_000).selectExpr(
+        "1L AS doc_id", "1 AS part", "CAST(id DIV 2 AS int) AS begin", "CAST(id DIV 2 + 3 AS int) AS end",
+        "concat('C', id DIV 2) AS concept", "'drug' AS sem_group", "0 AS polarity", "0 AS uncertainty", "'event' AS mention_class",
+    )
+    began = time.time()
+    line = consume.cui_sequence(mentions).first().cuis
+    assert line.split(" ") == [f"C{i}" for i in range(40_000)]
+    assert jobs.summarise(mentions, structure.KEYS).first().cuis == line
+    assert time.time() - began < 30
