@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from notequarry.catalog import io_queries
 from notequarry.functions import arrays, intervals
-from notequarry.operators import consume, spans, structure
+from notequarry.operators import consume, dictionary, spans, structure
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable, met_by_key
 
@@ -115,3 +115,15 @@ def test_many_codes_of_a_part_in_time(spark):
     assert line.split(" ") == [f"C{i}" for i in range(40_000)]
     assert jobs.summarise(mentions, structure.KEYS).first().cuis == line
     assert time.time() - began < 30
+
+
+def test_a_variant_beside_the_rare_word_is_told_before_the_phrase(spark):
+    rows = [(1, 1, 0, 0, ["reds", " apples", " fall", " down"], ["reds", "apples", "fall", "down"], ["red", "apple", None, None])]
+    schema = "doc_id bigint, part int, sent_id int, sent_begin int, pieces array<string>, words array<string>, variants array<string>"
+    terms = [(1, 1, 2, "red apple", "apple"), (2, 0, 3, "apple fall down", "apple"), (3, 0, 2, "apple red", "apple"),
+             (4, 1, 2, "reds apples", "apples"), (5, 0, 1, "fall", "fall"), (6, 2, 3, "apples fall up", "up"), (7, 0, 2, "down now", "down")]
+    table = LookupTable.fixed(spark, terms, "cui bigint, rindex int, tcount int, term string, rword string")
+    found = dictionary.find_terms(structure.sentence_frames(spark.createDataFrame(rows, schema)), table, match_variants=True)
+    got = sorted((r.cui, r.tok_start, r.tok_end, r.begin, r.end) for r in found.collect())
+    assert got == [(1, 0, 1, 0, 11), (2, 1, 3, 5, 21), (4, 0, 1, 0, 11), (5, 2, 2, 12, 16)]
+    assert "term_near" in found._jdf.queryExecution().optimizedPlan().toString()
