@@ -16,6 +16,9 @@ from notequarry.session import materialise
 from notequarry.sinks.results import RESULT_COLUMNS
 
 
+#: What opening a note costs, in bytes of reading. At Spark's 4 MB a task would read 32 notes of
+#: any length, and every task leaves a file of parts.
+OPEN_COST = 256 * 1024
 #: A line for every batch whose rows are all there.
 LEDGER = "run string, batch long, loaded string, folder string, n_rows long, n_parsed long, n_failed long"
 
@@ -34,6 +37,15 @@ def read_batches(spark: SparkSession, out: str) -> DataFrame:
     return reader.parquet(*folders)
 
 
+def _own_session(spark: SparkSession, settings: dict[str, int]) -> SparkSession:
+    """A session with the caller's settings and these; the caller's own stays as it is."""
+    own = spark.newSession()
+    for name, value in {**spark.conf.getAll, **settings}.items():
+        if own.conf.isModifiable(name):
+            own.conf.set(name, value)
+    return own
+
+
 def incremental_extract(
     spark: SparkSession,
     notes_dir: str,
@@ -51,8 +63,12 @@ def incremental_extract(
     has no rows. One that is run again replaces its own line, and no other's.
     """
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+    n_tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    # by itself Spark asks for the files of a batch in a task each, up to 10,000
+    few = {"spark.sql.files.openCostInBytes": OPEN_COST, "spark.sql.sources.parallelPartitionDiscovery.parallelism": n_tasks}
     notes = (
-        spark.readStream.format("text")
+        _own_session(spark, few)
+        .readStream.format("text")
         .option("wholetext", "true")
         .option("recursiveFileLookup", "true")
         .load(notes_dir)
@@ -60,7 +76,8 @@ def incremental_extract(
     )
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parts = materialise(pack_notes(batch, max_size), "batch-parts")
+        packed = materialise(pack_notes(batch, max_size), "batch-parts")
+        parts = packed.repartition(n_tasks, "key")
         stamp, folder = loaded(batch_id), f"{out}/rows/{run}-{batch_id}-{uuid.uuid4().hex}"
         seen, rows = observed_counts(extract(parts, settings))
         rows.withColumn("loaded", F.lit(stamp)).write.parquet(folder)

@@ -1,15 +1,18 @@
 """What must not grow: broadcasts, folds, sorts and files of the joins and operators."""
 
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from notequarry import session
 from notequarry.catalog import io_queries
 from notequarry.functions import arrays, intervals
 from notequarry.operators import consume, dictionary, spans, structure
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable, met_by_key
+from notequarry.streaming import incremental
 
 
 def broadcasts(frame) -> int:
@@ -79,6 +82,39 @@ def test_note_files_lie_in_many_folders(spark, tmp_path):
     assert len({r.path.rsplit("/", 1)[0] for r in found}) > 32
 
 
+def test_note_files_are_written_by_their_tasks(spark, tmp_path):
+    rows = [(1, "a"), (2, None), (3, ""), (4, "a"), (5, "zwei\nZeilen é")]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    root = Path(session.mounted_folder(spark, io_queries.written_files(spark, str(tmp_path))))
+    # Hadoop's writer leaves a file of checksums beside every note
+    found = sorted(p.read_text() for p in root.rglob("*") if p.is_file())
+    assert found == sorted(["a\n", "\n", "\n", "a\n", "zwei\nZeilen é\n"])
+
+
+def test_notes_of_a_batch_are_read_by_few_tasks(spark, tmp_path):
+    table = LookupTable.fixed(spark, [(7, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(7, 100, "alpha", "drug", "RX", "9", "C0000007")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    notes, out, n = tmp_path / "notes", str(tmp_path / "out"), 40 * spark.sparkContext.defaultParallelism
+    notes.mkdir()
+    for i in range(n):
+        (notes / f"{i}.txt").write_text(f"alpha {i}")
+    before = dict(spark.conf.getAll)
+    with session.job(spark):
+        known = set(session._HELD.get(spark, []))
+        stream = incremental.incremental_extract(
+            spark, str(notes), out, str(tmp_path / "marks"), jobs.Settings(table, concepts), lambda batch: "202601010930"
+        )
+        stream.awaitTermination()
+        held = [p for paths in session._HELD.values() for p in paths if "batch-parts" in p and p not in known]
+        # a task for every 4 MB, as Spark rates a file by itself, would leave more files than cores
+        assert len(list(Path(held[-1]).glob("part-*.parquet"))) <= spark.sparkContext.defaultParallelism
+    assert dict(spark.conf.getAll) == before
+    assert sorted(r.text for r in incremental.read_batches(spark, out).collect()) == sorted(f"alpha {i}\n" for i in range(n))
+
+
 def exchanged(frame) -> list[str]:
     mode = frame.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
     return [x for x in frame._jdf.queryExecution().explainString(mode).splitlines() if "- Exchange " in x]
