@@ -1,5 +1,7 @@
 """What must not grow: broadcasts, folds, sorts and files of the joins and operators."""
 
+import random
+import re
 import time
 from pathlib import Path
 
@@ -153,6 +155,40 @@ def test_many_codes_of_a_part_in_time(spark):
     assert time.time() - began < 30
 
 
+def test_chunks_are_the_runs_of_the_pattern(spark):
+    tags = {"D": "DT", "J": "JJ", "N": "NN", "V": "VB", "M": "MD", "I": "IN", "O": "RB"}
+    kinds = {"N": "NP", "V": "VP", "I": "PP"}
+    drawn = random.Random(3)
+    sentences = ["".join(drawn.choices("DJNVMIO", k=drawn.choice([1, 2, 5, 30, 200]))) for _ in range(200)]
+    rows = [(1, 1, s, i, 2 * i, 2 * i + 1, tags[x]) for s, letters in enumerate(sentences) for i, x in enumerate(letters)]
+    rows += [(None, 1, 0, i, i, i + 1, "NN") for i in (0, 1, 1)]  # a null key, a repeated token
+    tagged = spark.createDataFrame(rows, "doc_id bigint, part int, sent_id int, tok_idx int, begin int, end int, pos string")
+    found = structure.chunk(tagged)
+    wanted = [(None, 1, 0, 0, 0, 2, 0, 2, "NP")]
+    for s, letters in enumerate(sentences):
+        for i, m in enumerate(re.finditer(structure.CHUNK, letters)):
+            kind = next((k for x, k in kinds.items() if x in m[0]), "O")
+            wanted.append((1, 1, s, i, m.start(), m.end() - 1, 2 * m.start(), 2 * m.end() - 1, kind))
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, wanted))
+    # letters are made in compiled code, below the aggregate
+    aggregates = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate" in x]
+    assert aggregates and not any("CASE" in x for x in aggregates)
+
+
+def test_tokens_are_tagged_once_for_all_spans(spark, parts):
+    lexicon = LookupTable.fixed(spark, [("red", 2)], "lex_word string, lex_bits int")
+    spans = jobs.preprocess_only(parts, lexicon)
+    assert broadcasts(spans) == 1
+    found = {tuple(r)[2:] for r in spans.filter("doc_id = 3").collect()}
+    sentences = structure.sentence_split(parts)
+    tagged = structure.pos_tag(structure.tokenize(sentences), lexicon).filter("doc_id = 3")
+    listed = [("segment", 0, 33, "SIMPLE_SEGMENT")]
+    listed += [("sentence", r.begin, r.end, str(r.sent_id)) for r in sentences.filter("doc_id = 3").collect()]
+    listed += [("token", r.begin, r.end, r.pos) for r in tagged.collect()]
+    listed += [("chunk", r.begin, r.end, r.chunk_type) for r in structure.chunk(tagged).collect()]
+    assert found == set(listed) and spans.filter("doc_id = 3").count() == len(listed)
+
+
 def test_a_variant_beside_the_rare_word_is_told_before_the_phrase(spark):
     rows = [(1, 1, 0, 0, ["reds", " apples", " fall", " down"], ["reds", "apples", "fall", "down"], ["red", "apple", None, None])]
     schema = "doc_id bigint, part int, sent_id int, sent_begin int, pieces array<string>, words array<string>, variants array<string>"
