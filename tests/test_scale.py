@@ -3,13 +3,14 @@
 import random
 import re
 import time
+from datetime import datetime
 from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from notequarry import session
-from notequarry.catalog import io_queries
+from notequarry.catalog import io_queries, time_queries
 from notequarry.functions import arrays, intervals
 from notequarry.operators import consume, dictionary, spans, structure
 from notequarry.plans import jobs
@@ -143,6 +144,15 @@ def test_rows_met_by_key_are_those_of_a_join(spark):
     assert got.count() == 5
 
 
+def test_only_reference_tables_are_sent_whole_to_event_notes(spark, tmp_path):
+    rows = [(i, datetime(2024, 5, 1 + i, 9), "click") for i in range(20)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp, event_type string").write.parquet(str(tmp_path / "events.parquet"))
+    deepest = max(len(p.split(" ")) for p, _ in time_queries.NOTE_RELATIONS)
+    # terms, plurals and concepts; the relations and the phrases, word by word
+    assert broadcasts(time_queries.event_mentions(spark, str(tmp_path))) == 3
+    assert broadcasts(time_queries.doctime_string(spark, str(tmp_path))) == 3 + 1 + deepest
+
+
 def test_many_codes_of_a_part_in_time(spark):
     mentions = spark.range(80_000).selectExpr(
         "1L AS doc_id", "1 AS part", "CAST(id DIV 2 AS int) AS begin", "CAST(id DIV 2 + 3 AS int) AS end",
