@@ -30,6 +30,19 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def narrowed(whole: np.ndarray) -> bytes:
+    """Whole numbers in the fewest bytes that hold them all; what is beyond 32 bits stays in doubles."""
+    top = np.abs(whole).max(initial=0)
+    kind = next((k for k in (np.int8, np.int16, np.int32) if top <= np.iinfo(k).max), np.float64)
+    return whole.astype(kind).tobytes()
+
+
+def widened(data: bytes, rows: int, width: int) -> np.ndarray:
+    """What ``narrowed`` made, as doubles, a row for each vector."""
+    kind = {1: np.int8, 2: np.int16, 4: np.int32, 8: np.float64}[len(data) // max(1, rows * width) or 8]
+    return np.frombuffer(data, kind).astype(np.float64).reshape(rows, width)
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written in decimal, modulo ``modulus``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

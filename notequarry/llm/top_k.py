@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notequarry.llm.common import columns, parts
+from notequarry.llm.common import columns, narrowed, parts, widened
+from notequarry.plans.lookup_table import never_sent_whole
 from notequarry.session import materialise
 
 K = 10
@@ -81,7 +82,7 @@ def _packed(rows: DataFrame, block: int, name: str) -> DataFrame:
                 ids, made = _matrix(pa.Table.from_batches([batch.slice(at, block)]))
                 if len(ids):
                     yield pa.record_batch(
-                        [pa.array([ids.tobytes()]), pa.array([made.shape[1]], pa.int32()), pa.array([made.tobytes()])],
+                        [pa.array([ids.tobytes()]), pa.array([made.shape[1]], pa.int32()), pa.array([narrowed(made)])],
                         ["ids", "width", "vectors"],
                     )
 
@@ -90,19 +91,20 @@ def _packed(rows: DataFrame, block: int, name: str) -> DataFrame:
 
 def _opened(ids: bytes, width: int, vectors: bytes) -> tuple[np.ndarray, np.ndarray]:
     found = np.frombuffer(ids, np.int64)
-    return found, np.frombuffer(vectors, np.float64).reshape(len(found), width)
+    return found, widened(vectors, len(found), width)
 
 
 def _met(queries: DataFrame, blocks: DataFrame, lanes: int) -> DataFrame:
     """Every block of queries beside every block of vectors.
 
     Blocks of vectors are dealt out over ``lanes``; each block of queries is sent to every
-    lane once, and meets the lane's blocks there by an ordinary join on its number.
+    lane once, and meets the lane's blocks there by a merge join on its number. Spark would guess
+    the width of what is sent from the queries alone, without the lanes, and broadcast it all.
     """
     lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
     sent = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), lane)
     dealt = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).drop("block")
-    return dealt.join(sent, "lane").drop("lane")
+    return dealt.join(never_sent_whole(sent), "lane").drop("lane")
 
 
 def _scored(batches: Iterator[pa.RecordBatch]):
@@ -168,7 +170,7 @@ def _with_lows(queries: DataFrame, lows: DataFrame | None, floor: int) -> DataFr
         bounds = queries.withColumn("found", F.array().cast("array<struct<query:bigint,low:bigint>>"))
     else:
         packed = lows.groupBy("block").agg(F.collect_list(F.struct("query", "low")).alias("found"))
-        bounds = queries.join(packed, "block", "left")
+        bounds = queries.join(never_sent_whole(packed), "block", "left")
     other = floor if lows is None else NOTHING
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

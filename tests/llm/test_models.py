@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from notequarry.llm import language_id, lm_scoring, quality, top_k
+from notequarry.llm import common, language_id, lm_scoring, quality, top_k
 from notequarry.llm.queries import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -190,3 +190,36 @@ def test_top_k_of_nothing(spark):
 def test_products_beyond_doubles_are_exact():
     a, b = np.array([[2.0**40, 1.0]]), np.array([[2.0**20, 3.0], [2.0**30, 1.0]])
     assert top_k.products(a, b).tolist() == [[2**60 + 3, 2**63 - 1]]
+
+
+def sent_whole(monkeypatch, module) -> list[str]:
+    """Fills up with the broadcasts planned for the tables that ``module`` stores."""
+    kept, found = module.materialise, []
+
+    def seen(df, name):
+        mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+        plan = df._jdf.queryExecution().explainString(mode)
+        found.extend(f"{name}: {x.strip()}" for x in plan.splitlines() if "BroadcastExchange" in x)
+        return kept(df, name)
+
+    monkeypatch.setattr(module, "materialise", seen)
+    return found
+
+
+def test_top_k_sends_no_blocks_whole(spark, monkeypatch):
+    rand = random.Random(1)
+    rows = [(i, [rand.random() for _ in range(4)]) for i in range(200)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sent_whole(monkeypatch, top_k)
+    got = top_k.top_k(table, F.col("id") % 10 == 0)
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+    assert found == [] and "BroadcastExchange" not in got._jdf.queryExecution().explainString(mode)
+    assert sorted(map(tuple, got.collect())) == plain_top_k(rows, 10, lambda i: i % 10 == 0)
+
+
+@pytest.mark.parametrize("top", [0, 127, 128, 2**15, 2**31 - 1, 2**31, 2**60])
+def test_blocks_hold_their_numbers_in_few_bytes(top):
+    whole = np.array([[float(top), -float(top), 1.0], [0.0, -1.0, 3.0]])
+    data = common.narrowed(whole)
+    assert (common.widened(data, 2, 3) == whole).all()
+    assert len(data) == 6 * (1 if top <= 127 else 2 if top < 2**15 else 4 if top < 2**31 else 8)
