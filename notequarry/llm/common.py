@@ -30,6 +30,11 @@ def parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def apart(rows: DataFrame) -> DataFrame:
+    """Rows dealt out by ``lane`` to as many tasks as the session has partitions, however few bytes they are."""
+    return rows.repartition(parts(rows), "lane")
+
+
 def narrowed(whole: np.ndarray) -> bytes:
     """Whole numbers in the fewest bytes that hold them all; what is beyond 32 bits stays in doubles."""
     top = np.abs(whole).max(initial=0)

@@ -23,8 +23,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notequarry.llm.common import columns, parts
+from notequarry.llm.common import apart, narrowed, parts, widened
 from notequarry.llm.top_k import products
+from notequarry.plans.lookup_table import never_sent_whole
 from notequarry.session import materialise
 
 SCALE = 256
@@ -199,7 +200,7 @@ def _blocks(routed: DataFrame, lanes: np.ndarray, spans: np.ndarray, width: int)
                 for at in range(a, b, VECTOR_BLOCK):
                     own = batch.slice(at, min(VECTOR_BLOCK, b - at))
                     raw = [own.column(c).to_numpy().tobytes() for c in ("id", "row", "label")]
-                    made = [int(key[0][at]), int(key[1][at]), own.num_rows, *raw, _dense(own.column("vector"), width).tobytes()]
+                    made = [int(key[0][at]), int(key[1][at]), own.num_rows, *raw, narrowed(_dense(own.column("vector"), width))]
                     yield pa.record_batch([pa.array([x]) for x in made], names)
 
     dealt = routed.withColumn("lane", lane).repartition("lane").sortWithinPartitions("lane", "leaf", "id", "row")
@@ -207,7 +208,7 @@ def _blocks(routed: DataFrame, lanes: np.ndarray, spans: np.ndarray, width: int)
     return made.withColumn("block", F.monotonically_increasing_id())
 
 
-def _asked(queries: DataFrame, tree: Tree, lane_of: np.ndarray, spans: np.ndarray, width: int, windows: int) -> DataFrame:
+def _asked(queries: DataFrame, n_anchors: int, tree: Tree, lane_of: np.ndarray, spans: np.ndarray, width: int, windows: int) -> DataFrame:
     """Blocks of anchors, once for each lane that holds a leaf their annuli can meet."""
     names = ["lane", "q_n", "q_rows", "q_labels", "q_vectors", "q_low", "q_high"]
 
@@ -228,12 +229,14 @@ def _asked(queries: DataFrame, tree: Tree, lane_of: np.ndarray, spans: np.ndarra
                 lanes = sorted({int(lane_of[x]) + s for x in hit for s in range(int(spans[x]))})
                 if lanes:
                     raw = [own.column(c).to_numpy().tobytes() for c in ("row", "label")]
-                    made = [own.num_rows, *raw, vectors.tobytes(), low.tobytes(), high.tobytes()]
+                    made = [own.num_rows, *raw, narrowed(vectors), low.tobytes(), high.tobytes()]
                     for lane in lanes:
                         yield pa.record_batch([pa.array([x]) for x in (lane, *made)], names)
 
     schema = "lane long, q_n long, q_rows binary, q_labels binary, q_vectors binary, q_low binary, q_high binary"
-    ordered = queries.select("row", "label", "vector", "low", "high", "leaf").sortWithinPartitions("leaf")
+    # a task for every block or so, as a block is compared with all leaves
+    n = max(1, min(parts(queries), n_anchors // ANCHOR_BLOCK))
+    ordered = queries.select("row", "label", "vector", "low", "high", "leaf").repartitionByRange(n, "leaf").sortWithinPartitions("leaf")
     return ordered.mapInArrow(run, schema)
 
 
@@ -254,15 +257,14 @@ def _scored(tree: Tree, width: int, windows: int, k: int, same: bool):
             for at in range(batch.num_rows):
                 x = batch.slice(at, 1).to_pylist()[0]
                 longs = lambda name, x=x: np.frombuffer(x[name], np.int64)
-                matrix = lambda name, n, x=x: np.frombuffer(x[name], np.float64).reshape(n, width)
                 asked, rows, ids = longs("q_rows"), longs("rows"), longs("ids")
-                anchors = matrix("q_vectors", len(asked))
+                anchors = widened(x["q_vectors"], len(asked), width)
                 low, high = longs("q_low").reshape(-1, windows), longs("q_high").reshape(-1, windows)
                 alive = tree.alive(*_annuli(tree, anchors, low, high), x["leaf"])
                 few = np.flatnonzero(alive.any(axis=1))
                 if not len(few):
                     continue
-                scores = products(anchors[few], matrix("vectors", len(ids)))
+                scores = products(anchors[few], widened(x["vectors"], len(ids), width))
                 equal = longs("q_labels")[few, None] == longs("labels")[None, :]
                 fits = (equal & (asked[few, None] != rows[None, :])) if same else ~equal
                 for w in range(windows):
@@ -313,10 +315,10 @@ class Index:
         drawn = F.pmod(F.xxhash64("block"), F.lit(self.n_blocks))
         turn = F.when(drawn < first, 0).when(drawn < second, 1).otherwise(2)
         order = Window.partitionBy("row", "w").orderBy(F.desc("score"), "id", "found")
-        best, asked = None, queries
+        best, asked, n_anchors = None, queries, queries.count()
         for number in range(3):
-            sent = _asked(asked, self.tree, self.lane_of, self.spans, self.width, windows)
-            met = self.blocks.filter(turn == number).join(sent, "lane")
+            sent = _asked(asked, n_anchors, self.tree, self.lane_of, self.spans, self.width, windows)
+            met = apart(self.blocks.filter(turn == number)).join(never_sent_whole(apart(sent)), "lane")
             run = _scored(self.tree, self.width, windows, k, same)
             new = met.mapInArrow(run, "row long, w long, id long, found long, score long")
             every = new if best is None else best.drop("nth").union(new)
@@ -326,7 +328,7 @@ class Index:
                     F.map_from_entries(F.collect_list(F.struct(F.col("w").cast("int"), "score"))).alias("floors")
                 )
                 raised = F.transform("low", lambda x, w: F.greatest(x, F.coalesce(F.element_at("floors", w), x)))
-                asked = queries.join(floors, "row", "left").withColumn("low", raised).drop("floors")
+                asked = queries.join(never_sent_whole(floors), "row", "left").withColumn("low", raised).drop("floors")
         return best
 
 
@@ -405,13 +407,14 @@ def hard_negatives(
     )
     # windows stand in the order of the positives, which are numbered without gaps
     bounds = pairs.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("p", "low", "high"))).alias("bounds"))
-    asked = anchors.join(bounds, "row").select(
+    asked = anchors.join(never_sent_whole(bounds), "row").select(
         *anchors.columns, F.col("bounds.low").alias("low"), F.col("bounds.high").alias("high")
     )
     far = found.search(materialise(asked, "windows"), positives, negatives, False)
     answers = far.withColumnRenamed("id", "negative_id").withColumnRenamed("score", "negative_score")
     answers = answers.withColumn("p", (F.col("w") + 1).cast("int"))
     named = anchors.select("row", F.col("id").alias("anchor_id"))
-    return answers.join(pairs.drop("low", "high"), ["row", "p"]).join(named, "row").select(
+    met = answers.join(never_sent_whole(pairs.drop("low", "high")), ["row", "p"])
+    return met.join(never_sent_whole(named), "row").select(
         "anchor_id", "positive_id", F.col("nth").alias("rank"), "negative_id", "positive_score", "negative_score"
     )

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from notequarry.llm.common import columns, narrowed, parts, widened
+from notequarry.llm.common import apart, columns, narrowed, parts, widened
 from notequarry.plans.lookup_table import never_sent_whole
 from notequarry.session import materialise
 
@@ -99,12 +99,13 @@ def _met(queries: DataFrame, blocks: DataFrame, lanes: int) -> DataFrame:
 
     Blocks of vectors are dealt out over ``lanes``; each block of queries is sent to every
     lane once, and meets the lane's blocks there by a merge join on its number. Spark would guess
-    the width of what is sent from the queries alone, without the lanes, and broadcast it all.
+    the width of what is sent from the queries alone, without the lanes, and broadcast it all;
+    and it would put lanes of few bytes into one task, though each is a lot of work.
     """
     lane = F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane")
     sent = queries.select(*(F.col(c).alias(f"q_{c}") for c in queries.columns), lane)
     dealt = blocks.withColumn("lane", F.pmod(F.xxhash64("block"), F.lit(lanes)).cast("int")).drop("block")
-    return dealt.join(never_sent_whole(sent), "lane").drop("lane")
+    return apart(dealt).join(never_sent_whole(apart(sent)), "lane").drop("lane")
 
 
 def _scored(batches: Iterator[pa.RecordBatch]):

@@ -96,3 +96,18 @@ def test_query_matches_sql(spark):
     duck = compare.connect("/root/testdata/sf0.001")
     name = "op12_hard_negatives"
     assert compare.compare(QUERIES[name](spark, "/root/testdata/sf0.001"), duck, ORACLES[name]) == []
+
+
+def test_no_blocks_are_sent_whole(spark, monkeypatch):
+    kept, found = hard_negatives.materialise, []
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+
+    def seen(df, name):
+        plan = df._jdf.queryExecution().explainString(mode)
+        found.extend(f"{name}: {x.strip()}" for x in plan.splitlines() if "BroadcastExchange" in x)
+        return kept(df, name)
+
+    monkeypatch.setattr(hard_negatives, "materialise", seen)
+    rows = [(i, np.float32(v).tolist(), label) for i, v, label in clustered(100, 4)]
+    assert answers(spark, rows) == plain(rows)
+    assert found == []
