@@ -209,3 +209,28 @@ def test_a_variant_beside_the_rare_word_is_told_before_the_phrase(spark):
     got = sorted((r.cui, r.tok_start, r.tok_end, r.begin, r.end) for r in found.collect())
     assert got == [(1, 0, 1, 0, 11), (2, 1, 3, 5, 21), (4, 0, 1, 0, 11), (5, 2, 2, 12, 16)]
     assert "term_near" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_a_sentence_are_looked_up_one_at_a_time(spark, parts):
+    """Compiled, a generator would make all copies of a sentence, one for each word or window, before the first is looked up."""
+    words = structure.sentence_words(structure.sentence_split(parts))
+    table = LookupTable.fixed(spark, [(7, 1, 2, "red apples", "apples")], "cui bigint, rindex int, tcount int, term string, rword string")
+    windows = structure.tokenize(structure.sentence_split(parts)).groupBy("doc_id", "part", "sent_id").agg(
+        F.min("tok_idx").alias("tok_start"), F.max("tok_idx").alias("tok_end")
+    )
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # the plan shows what is compiled
+    try:
+        for frames in (structure.sentence_frames(words), structure.window_frames(words, windows)):
+            found = dictionary.find_terms(frames, table)
+            mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
+            plan = found._jdf.queryExecution().explainString(mode)
+            made = [x for x in plan.splitlines() if re.search(r"Generate (pos)?explode\(", x)]
+            assert made and not any(re.search(r"\*\(\d+\) Generate", x) for x in made)
+            assert found.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_arrays_one_by_one_are_the_same(spark):
+    rows = spark.createDataFrame([([1, None, 2],), ([],), (None,)], "v array<int>")
+    assert [r.w for r in rows.select(arrays.one_by_one(F.col("v")).alias("w")).collect()] == [[1, None, 2], [], None]
