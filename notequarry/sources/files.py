@@ -2,17 +2,116 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
+import fnmatch
+import os
+import re
+import urllib.parse
+from collections.abc import Iterator, Sequence
+from functools import partial
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from notequarry.session import materialise, mounted_folder
+
+#: Bytes and files of a batch of contents that a task hands on.
+BATCH_BYTES, BATCH_FILES = 4 * 1024 * 1024, 1024
+
+
+def walkable(spark: SparkSession, root: str, glob: str | None = None) -> str | None:
+    """The folder of a root that tasks can list by themselves: mounted, without patterns in its path."""
+    if set(root) & set("*?[]{}\\") or set(glob or "") & set("[]{}\\"):
+        return None
+    folder = mounted_folder(spark, root)
+    return folder if folder and os.path.isdir(folder) else None
+
+
+def _shown(name: str) -> bool:
+    """Spark's readers pass over names that begin with a period or an underline."""
+    hidden = name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+    return not hidden or name.startswith(("_common_metadata", "_metadata"))
+
+
+def _entries(folder: str, glob: str | None, deep: bool) -> Iterator[tuple[str, int | None]]:
+    """(path, length) of the files of a folder, or of all below it; a folder not entered has no length."""
+    todo = [folder]
+    while todo:
+        with os.scandir(todo.pop()) as found:
+            for x in found:
+                if not _shown(x.name):
+                    continue
+                if x.is_dir():
+                    if deep:
+                        todo.append(x.path)
+                    else:
+                        yield x.path, None
+                elif (glob is None or fnmatch.fnmatchcase(x.name, glob)) and (size := x.stat().st_size):
+                    yield x.path, size
+
+
+def _listing(folder: str | None, glob: str | None, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in [folder] if folder else batch.column(0).to_pylist():
+            paths, sizes = [], []
+            for path, size in _entries(at, glob, folder is None):
+                paths.append(path)
+                sizes.append(size)
+                if len(paths) == 10_000:
+                    yield pa.record_batch([pa.array(paths), pa.array(sizes, pa.int64())], ["path", "length"])
+                    paths, sizes = [], []
+            if paths:
+                yield pa.record_batch([pa.array(paths), pa.array(sizes, pa.int64())], ["path", "length"])
+
+
+def listed_files(spark: SparkSession, folder: str, glob: str | None = None) -> DataFrame:
+    """path, length of the files below a mounted folder, empty ones left out, as Spark's readers do.
+
+    One task lists the folder, others the folders in it; the driver holds none of the names.
+    """
+    schema = "path string, length long"
+    top = materialise(spark.range(0, 1, 1, 1).mapInArrow(partial(_listing, folder, glob), schema), "listing")
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    folders = top.filter(F.col("length").isNull()).select("path").repartition(n)
+    return top.filter(F.col("length").isNotNull()).union(folders.mapInArrow(partial(_listing, None, glob), schema))
+
+
+def _contents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    paths, held, size = [], [], 0
+    for batch in batches:
+        for path in batch.column(0).to_pylist():
+            with open(path, "rb") as file:
+                held.append(file.read())
+            paths.append(path)
+            size += len(held[-1])
+            if size >= BATCH_BYTES or len(held) >= BATCH_FILES:
+                yield pa.record_batch([pa.array(paths), pa.array(held, pa.binary())], ["path", "content"])
+                paths, held, size = [], [], 0
+    if paths:
+        yield pa.record_batch([pa.array(paths), pa.array(held, pa.binary())], ["path", "content"])
+
+
+def file_contents(listed: DataFrame, n_tasks: int) -> DataFrame:
+    """path, content of the files of ``listed_files``, read in ``n_tasks``."""
+    return listed.select("path").repartition(n_tasks, "path").mapInArrow(_contents, "path string, content binary")
+
+
+def path_uri(path: str) -> str:
+    """A path as Spark's file metadata show it."""
+    return "file:" + re.sub(r"[^A-Za-z0-9_!.~'()*,;:$&+=@/\u0080-\U0010ffff-]", lambda m: urllib.parse.quote(m[0]), path)
+
 
 def whole_files(spark: SparkSession, root: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """One row per file below a root that is a file or a directory: path, content.
 
-    A missing root is an error. Files are never split.
+    A missing root is an error. Files are never split. Below a mounted folder they are listed and
+    read by tasks; elsewhere Spark lists them, and its driver holds an entry for each.
     """
+    folder = walkable(spark, root, glob) if recursive else None
+    if folder is not None:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+        found = file_contents(listed_files(spark, folder, glob), n)
+        return found.select(F.concat(F.lit("file:"), "path").alias("path"), "content")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
