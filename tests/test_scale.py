@@ -15,6 +15,7 @@ from notequarry.functions import arrays, intervals
 from notequarry.operators import consume, dictionary, spans, structure
 from notequarry.plans import jobs
 from notequarry.plans.lookup_table import LookupTable, met_by_key
+from notequarry.sources import files
 from notequarry.streaming import incremental
 
 
@@ -234,3 +235,48 @@ def test_words_of_a_sentence_are_looked_up_one_at_a_time(spark, parts):
 def test_arrays_one_by_one_are_the_same(spark):
     rows = spark.createDataFrame([([1, None, 2],), ([],), (None,)], "v array<int>")
     assert [r.w for r in rows.select(arrays.one_by_one(F.col("v")).alias("w")).collect()] == [[1, None, 2], [], None]
+
+
+def test_files_listed_by_tasks_are_those_of_the_reader(spark, tmp_path):
+    names = ["a.txt", "b c.txt", "é%1#2.txt", "d.xml", ".hidden.txt", "_odd.txt", "_k=1.txt", "in/e.txt", "in/deep/er/f.txt", ".in/g.txt", "_in/h.txt", "k=2/i.txt"]
+    root = tmp_path / "notes"
+    for name in names:
+        (root / name).parent.mkdir(parents=True, exist_ok=True)
+        (root / name).write_bytes(name.encode() + b"\xff\r\n")
+    (root / "empty.txt").write_bytes(b"")
+    for glob in (None, "*.txt", "?.txt"):
+        read = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+        wanted = (read.option("pathGlobFilter", glob) if glob else read).load(str(root)).select("path", "content")
+        got = files.whole_files(spark, str(root), glob)
+        assert "mapInArrow" in got._jdf.queryExecution().optimizedPlan().toString() or "MapInArrow" in got._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, got.collect())) == sorted(map(tuple, wanted.collect()))
+    shown = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").text(str(root)).select("_metadata.file_path")
+    listed = files.listed_files(spark, str(root)).collect()
+    assert sorted(files.path_uri(r.path) for r in listed) == sorted(r.file_path for r in shown.collect())
+    assert all(r.length == Path(r.path).stat().st_size for r in listed)
+
+
+def test_the_stream_holds_no_entry_for_a_note(spark, tmp_path):
+    table = LookupTable.fixed(spark, [(7, 0, 1, "alpha", "alpha")], "cui bigint, rindex int, tcount int, term string, rword string")
+    concepts = LookupTable.fixed(
+        spark, [(7, 100, "alpha", "drug", "RX", "9", "C0000007")],
+        "concept_id bigint, tui int, pref_term string, sem_group string, scheme string, code string, concept_cui string",
+    )
+    notes, out, marks = tmp_path / "notes", str(tmp_path / "out"), tmp_path / "marks"
+    notes.mkdir()
+
+    def run() -> list[str]:
+        incremental.incremental_extract(
+            spark, str(notes), out, str(marks), jobs.Settings(table, concepts), lambda batch: f"20260101{batch:04d}"
+        ).awaitTermination()
+        return sorted(f"{r.loaded} {r.text}" for r in incremental.read_batches(spark, out).collect())
+
+    for i in range(50):
+        (notes / f"{i}.txt").write_text("alpha")
+    first = run()
+    assert first == ["202601010000 alpha\n"] * 50
+    held = "".join(p.read_text() for p in (marks / "sources").rglob("[0-9]*") if p.is_file())
+    assert held.count('"path"') < 10 and "/notes/" not in held
+    assert run() == first
+    (notes / "late.txt").write_text("beta alpha")
+    assert run() == [*first, "202601010001 beta alpha\n"]
